@@ -1,7 +1,8 @@
 """The four marts.
 
-Category, month and force marts take any frame in the cube's layout; hotspots take staged rows.
-None is sorted: order is applied when a mart is read.
+Category, month and force marts take any frame in the cube's layout; hotspots take cleaned rows.
+Year, month number and district are worked out on grouped rows, not on every incident. No mart is
+sorted: order is applied when one is read.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.functions.numeric import mean_coordinate, percent, sum_if
+from wardline.operators.staging import with_district, with_period
 from wardline.schema import (
     HIGH_FROM,
     HOTSPOT_COUNTS,
@@ -19,7 +21,26 @@ from wardline.schema import (
     OUTCOME_OPEN,
 )
 
-HOTSPOT_KEYS = ("lsoa_code", "lsoa_name", "district", "force", "year", "month")
+HOTSPOT_KEYS = ("lsoa_code", "lsoa_name", "force", "month")
+
+MART_COLUMNS: dict[str, tuple[str, ...]] = {
+    "by_category": (
+        *("year", "month_num", "month", "force", "crime_type"),
+        *("total_crimes", "crimes_with_id", "pct_under_investigation"),
+    ),
+    "by_month": (
+        *("year", "month_num", "month", "force"),
+        *("total_crimes", "prev_year_crimes", "yoy_pct_change"),
+    ),
+    "by_force": (
+        *("force", "year", "month", "total_crimes", "distinct_crime_types"),
+        *("pct_under_investigation", "pct_no_suspect", "pct_resolved"),
+    ),
+    "hotspots": (
+        *("lsoa_code", "lsoa_name", "district", "force", "year", "month"),
+        *("centroid_lat", "centroid_lon", "total_crimes", *HOTSPOT_COUNTS, "hotspot_tier"),
+    ),
+}
 
 
 def _share_of_incidents(condition: Column) -> Column:
@@ -27,11 +48,12 @@ def _share_of_incidents(condition: Column) -> Column:
 
 
 def by_category(cube: DataFrame) -> DataFrame:
-    return cube.groupBy("year", "month_num", "month", "force", "crime_type").agg(
+    counted = cube.groupBy("month", "force", "crime_type").agg(
         F.sum("incidents").alias("total_crimes"),
         F.sum("incidents_with_id").alias("crimes_with_id"),
         _share_of_incidents(F.col("last_outcome") == OUTCOME_OPEN).alias("pct_under_investigation"),
     )
+    return with_period(counted).select(*MART_COLUMNS["by_category"])
 
 
 def by_month(cube: DataFrame) -> DataFrame:
@@ -39,22 +61,21 @@ def by_month(cube: DataFrame) -> DataFrame:
 
     The previous year is the previous one present: over a gap, 2026 is compared with 2024.
     """
-    totals = cube.groupBy("year", "month_num", "month", "force").agg(
-        F.sum("incidents").alias("total_crimes")
-    )
+    totals = cube.groupBy("month", "force").agg(F.sum("incidents").alias("total_crimes"))
     same_month = Window.partitionBy("force", "month_num").orderBy("year")
-    return totals.withColumn(
+    now, before = F.col("total_crimes"), F.col("prev_year_crimes")
+    compared = with_period(totals).withColumn(
         "prev_year_crimes", F.lag("total_crimes").over(same_month)
-    ).withColumn(
-        "yoy_pct_change",
-        percent(F.col("total_crimes") - F.col("prev_year_crimes"), F.col("prev_year_crimes")),
+    )
+    return compared.withColumn("yoy_pct_change", percent(now - before, before)).select(
+        *MART_COLUMNS["by_month"]
     )
 
 
 def by_force(cube: DataFrame) -> DataFrame:
     """Outcome shares per force and month. Rows without an outcome are in none of the three."""
     outcome = F.col("last_outcome")
-    return cube.groupBy("force", "year", "month").agg(
+    counted = cube.groupBy("force", "month").agg(
         F.sum("incidents").alias("total_crimes"),
         F.count_distinct("crime_type").alias("distinct_crime_types"),
         _share_of_incidents(outcome == OUTCOME_OPEN).alias("pct_under_investigation"),
@@ -63,6 +84,7 @@ def by_force(cube: DataFrame) -> DataFrame:
             ~outcome.isin(OUTCOME_OPEN, OUTCOME_MISSING, OUTCOME_NO_SUSPECT)
         ).alias("pct_resolved"),
     )
+    return with_period(counted).select(*MART_COLUMNS["by_force"])
 
 
 def tier(total: Column, high_from: int = HIGH_FROM, medium_from: int = MEDIUM_FROM) -> Column:
@@ -71,23 +93,24 @@ def tier(total: Column, high_from: int = HIGH_FROM, medium_from: int = MEDIUM_FR
     )
 
 
-def located(staged: DataFrame) -> DataFrame:
+def located(cleaned: DataFrame) -> DataFrame:
     """Rows that can be put on a map."""
-    return staged.dropna(subset=["latitude", "longitude", "lsoa_code"])
+    return cleaned.dropna(subset=["latitude", "longitude", "lsoa_code"])
 
 
 def hotspots(
-    staged: DataFrame, high_from: int = HIGH_FROM, medium_from: int = MEDIUM_FROM
+    cleaned: DataFrame, high_from: int = HIGH_FROM, medium_from: int = MEDIUM_FROM
 ) -> DataFrame:
     """Area by month: centroid, total, six category counts and a tier, in one pass."""
     category = F.col("crime_type")
-    counted = located(staged).groupBy(*HOTSPOT_KEYS).agg(
+    counted = located(cleaned).groupBy(*HOTSPOT_KEYS).agg(
         mean_coordinate("latitude").alias("centroid_lat"),
         mean_coordinate("longitude").alias("centroid_lon"),
         F.count(F.lit(1)).alias("total_crimes"),
         *[F.count_if(category == name).alias(column) for column, name in HOTSPOT_COUNTS.items()],
     )
-    return counted.withColumn("hotspot_tier", tier(F.col("total_crimes"), high_from, medium_from))
+    tiered = counted.withColumn("hotspot_tier", tier(F.col("total_crimes"), high_from, medium_from))
+    return with_district(with_period(tiered)).select(*MART_COLUMNS["hotspots"])
 
 
 # Reading order of each mart: column -> ascending.

@@ -13,7 +13,7 @@ from wardline.functions.text import safe_stem
 from wardline.operators import features, marts, narrative, quality
 from wardline.operators.cube import incident_cube, unit_cube
 from wardline.operators.incremental import new_rows
-from wardline.operators.staging import stage
+from wardline.operators.staging import clean, stage
 from wardline.plans import dashboard
 from wardline.plans.dashboard import Selection
 from wardline.plans.sample import raw_incidents, table
@@ -48,8 +48,12 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(raw_incidents(spark, sf_dir))
 
 
+def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean(raw_incidents(spark, sf_dir))
+
+
 def cube(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return incident_cube(staged(spark, sf_dir))
+    return incident_cube(cleaned(spark, sf_dir))
 
 
 def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +95,7 @@ def raw_try_cast(spark, sf_dir):
 
 @query
 def mart_by_category(spark, sf_dir):
-    return marts.by_category(unit_cube(staged(spark, sf_dir)))
+    return marts.by_category(unit_cube(cleaned(spark, sf_dir)))
 
 
 @query
@@ -101,17 +105,17 @@ def cube_rollup_category(spark, sf_dir):
 
 @query
 def mart_by_month_yoy(spark, sf_dir):
-    return marts.by_month(unit_cube(staged(spark, sf_dir)))
+    return marts.by_month(unit_cube(cleaned(spark, sf_dir)))
 
 
 @query
 def mart_by_force(spark, sf_dir):
-    return marts.by_force(unit_cube(staged(spark, sf_dir)))
+    return marts.by_force(unit_cube(cleaned(spark, sf_dir)))
 
 
 @query
 def mart_hotspots(spark, sf_dir):
-    return marts.hotspots(staged(spark, sf_dir))
+    return marts.hotspots(cleaned(spark, sf_dir))
 
 
 # -- dashboard ------------------------------------------------------------------------------------
@@ -119,7 +123,7 @@ def mart_hotspots(spark, sf_dir):
 
 @query
 def outcome_distribution(spark, sf_dir):
-    return dashboard.outcome_distribution(unit_cube(staged(spark, sf_dir)))
+    return dashboard.outcome_distribution(unit_cube(cleaned(spark, sf_dir)))
 
 
 @query
@@ -128,7 +132,7 @@ def kpi_row(spark, sf_dir):
     return dashboard.kpis(
         marts.by_category(counts),
         marts.by_force(counts),
-        marts.hotspots(staged(spark, sf_dir)),
+        marts.hotspots(cleaned(spark, sf_dir)),
         PICKED,
     )
 
@@ -176,7 +180,7 @@ def monthly_quartiles_by_force(spark, sf_dir):
 
 @query
 def hotspot_markers_latest(spark, sf_dir):
-    rows = staged(spark, sf_dir)
+    rows = cleaned(spark, sf_dir)
     # The latest mapped month, taken before grouping: no shuffle, and the filter reaches the scan.
     latest = marts.located(rows).agg(F.max("month")).scalar()
     return dashboard.markers(marts.hotspots(rows), latest)
@@ -280,7 +284,7 @@ def report_json(spark, sf_dir):
 
 @query
 def safe_stems(spark, sf_dir):
-    pairs = staged(spark, sf_dir).select("last_outcome", "month").distinct()
+    pairs = cleaned(spark, sf_dir).select("last_outcome", "month").distinct()
     return pairs.select(
         "last_outcome", "month", safe_stem(F.col("last_outcome"), F.col("month")).alias("stem")
     )
@@ -327,7 +331,7 @@ def latest_watermark(spark, sf_dir):
 @query
 def pending_months_by_force(spark, sf_dir):
     marks = latest_marks(_mark_log(spark, sf_dir))
-    end = staged(spark, sf_dir).agg(F.max("month")).scalar()
+    end = cleaned(spark, sf_dir).agg(F.max("month")).scalar()
     return pending_months(marks, end).withColumn("previous", previous_month(F.col("month")))
 
 
@@ -342,7 +346,7 @@ def target_month_of_runs(spark, sf_dir):
 
 @query
 def partition_listing(spark, sf_dir):
-    rows = staged(spark, sf_dir)
+    rows = cleaned(spark, sf_dir)
     store = rows.select(
         F.split_part("month", F.lit("-"), F.lit(1)).alias("part_year"),
         F.split_part("month", F.lit("-"), F.lit(2)).alias("part_month"),
@@ -355,7 +359,7 @@ def partition_listing(spark, sf_dir):
 
 
 def _models(spark, sf_dir):
-    rows = staged(spark, sf_dir)
+    rows = cleaned(spark, sf_dir)
     counts = incident_cube(rows)
     return {
         "staging": rows,
@@ -378,7 +382,7 @@ def gate_accepted_values(spark, sf_dir):
 
 @query
 def gate_min_rows(spark, sf_dir):
-    return quality.row_counts(staged(spark, sf_dir), ["force", "month"], minimum=120)
+    return quality.row_counts(cleaned(spark, sf_dir), ["force", "month"], minimum=120)
 
 
 @query
@@ -398,7 +402,7 @@ def gate_month_format(spark, sf_dir):
         | ((F.col("force") == "asia") & (number % 2 == 0))
         | ((F.col("force") == "africa") & (F.col("crime_type") == "Drugs") & (number % 2 == 0))
     )
-    rows = staged(spark, sf_dir).withColumn("month", F.when(wordy, words).otherwise(F.col("month")))
+    rows = cleaned(spark, sf_dir).withColumn("month", F.when(wordy, words).otherwise(F.col("month")))
     return quality.month_format(rows, by=["force"])
 
 

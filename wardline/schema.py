@@ -79,7 +79,7 @@ MONTH_PATTERN = r"^\d{4}-\d{2}$"
 FILE_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in FILE_COLUMNS])
 
 # Raw table. The last three columns are its partitions: load_id names the batch that wrote a row,
-# so that repeating a batch replaces its own files and nothing else.
+# so that repeating a batch replaces its own rows and nothing else.
 RAW_COLUMNS: dict[str, str] = {
     "crime_id": "string",
     "reported_by": "string",
@@ -93,11 +93,11 @@ RAW_COLUMNS: dict[str, str] = {
     "last_outcome": "string",
     "context": "string",
     "_loaded_at": "timestamp",
+    "load_id": "string",
     "force": "string",
     "month": "string",
-    "load_id": "string",
 }
-RAW_PARTITIONS = ("force", "month", "load_id")
+RAW_PARTITIONS = ("load_id", "force", "month")
 
 ROW_KEY = ("crime_id", "month", "force")
 

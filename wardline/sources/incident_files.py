@@ -62,6 +62,12 @@ def discover_files(
     )
 
 
+def list_paths(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """Every file under the paths, opened or not, empty or not."""
+    listed = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
+    return [row[0] for row in listed.select("_metadata.file_path").collect()]
+
+
 def file_layouts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Per file: whether it is valid UTF-8 throughout, and its header line. One pass over all."""
     lines = spark.read.text(paths).select(

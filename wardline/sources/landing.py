@@ -6,29 +6,20 @@ its value would take the place of the Month column on reading.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from wardline.schema import FILE_COLUMNS, FILE_SCHEMA
+from wardline.schema import FILE_COLUMNS, FILE_SCHEMA, FORCES
+from wardline.sources.incident_files import force_of, month_of, read_files
 
 PARTITIONS = ("part_year", "part_month", "force", "source_file")
 _LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary, "
 _PARTITION_SCHEMA = ", ".join(f"{name} string" for name in PARTITIONS)
 
 
-def landing_rows(rows: DataFrame) -> DataFrame:
-    """File rows with source_file, force and file_month -> rows with their partition columns."""
-    month = F.col("file_month")
-    return rows.select(
-        *[F.col(f"`{name}`") for name in FILE_COLUMNS],
-        F.split_part(month, F.lit("-"), F.lit(1)).alias("part_year"),
-        F.split_part(month, F.lit("-"), F.lit(2)).alias("part_month"),
-        "force",
-        "source_file",
-    )
-
-
 def list_files(spark: SparkSession, root: str) -> DataFrame | None:
     """Landed (year, month, force, file) tuples from the folder names alone; None without a store."""
     try:
@@ -51,24 +42,45 @@ def list_partitions(store: DataFrame) -> DataFrame:
     return store.select(*keys).distinct().orderBy(*keys)
 
 
-def land(rows: DataFrame, root: str) -> None:
-    """Write each file's rows under its key, unless the key exists.
+def land(files: DataFrame, root: str, forces: Sequence[str] = FORCES) -> int:
+    """Copy files (path, file_name, force, month) to the store, each under its key.
 
-    The keys already there, one per file, come from a folder listing. Rows of one file are already
-    together, so nothing is shuffled for the write.
+    Files whose key exists are skipped unread. Rows of one file are together already, so nothing is
+    shuffled for the write. Returns the number of files copied.
     """
-    keyed = landing_rows(rows)
-    present = list_files(rows.sparkSession, root)
+    spark = files.sparkSession
+    keyed = files.select(
+        "path",
+        F.split_part("month", F.lit("-"), F.lit(1)).alias("part_year"),
+        F.split_part("month", F.lit("-"), F.lit(2)).alias("part_month"),
+        "force",
+        F.col("file_name").alias("source_file"),
+    )
+    present = list_files(spark, root)
     if present is not None:
         keyed = keyed.join(present, list(PARTITIONS), "left_anti")
+    # One path per file.
+    paths = [row["path"] for row in keyed.select("path").collect()]
+    if not paths:
+        return 0
+    name = F.col("source_file")
+    month = month_of(name)
     (
-        keyed.select(*[F.col(f"`{name}`") for name in FILE_COLUMNS], *PARTITIONS)
+        read_files(spark, paths)
+        .select(
+            *[F.col(f"`{column}`") for column in FILE_COLUMNS],
+            F.split_part(month, F.lit("-"), F.lit(1)).alias("part_year"),
+            F.split_part(month, F.lit("-"), F.lit(2)).alias("part_month"),
+            force_of(name, forces).alias("force"),
+            "source_file",
+        )
         .write.mode("append")
         .partitionBy(*PARTITIONS)
         .option("header", True)
         .option("escape", '"')
         .csv(root)
     )
+    return len(paths)
 
 
 def read_landed(
