@@ -359,14 +359,14 @@ def partition_listing(spark, sf_dir):
 
 
 def _models(spark, sf_dir):
-    rows = cleaned(spark, sf_dir)
-    counts = incident_cube(rows)
+    raw = raw_incidents(spark, sf_dir)
+    counts = incident_cube(clean(raw))
     return {
-        "staging": rows,
+        "staging": stage(raw),
         "by_category": marts.by_category(counts),
         "by_month": marts.by_month(counts),
         "by_force": marts.by_force(counts),
-        "hotspots": marts.hotspots(rows),
+        "hotspots": marts.hotspots(clean(raw)),
     }
 
 

@@ -95,7 +95,8 @@ class Warehouse:
         loose = [name for name in RAW_PARTITIONS if name != "load_id"]
         # Spread a large force-month over tasks and gather small ones: sizes are known at run time.
         spread = fresh.select(*stored, *loose).hint("rebalance", "force", "month")
-        self.spark.sql(
+        # A streaming batch has a session of its own, which alone knows the view made for {rows}.
+        spread.sparkSession.sql(
             f"INSERT OVERWRITE TABLE {self._name('raw', 'incidents')} "
             f"PARTITION (load_id = :load_id, {', '.join(loose)}) SELECT * FROM {{rows}}",
             args={"load_id": load_id},
