@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions.months import previous_month, target_month
 from wardline.functions.numeric import round_half_away
-from wardline.functions.text import safe_stem
+from wardline.functions.text import blank_to_null, safe_stem
 from wardline.operators import features, marts, narrative, quality
 from wardline.operators.cube import incident_cube, unit_cube
 from wardline.operators.incremental import new_rows
@@ -17,8 +17,10 @@ from wardline.operators.staging import clean, stage
 from wardline.plans import dashboard
 from wardline.plans.dashboard import Selection
 from wardline.plans.sample import raw_incidents, table
-from wardline.sources.marks import latest_marks, pending_months
+from wardline.schema import ROW_KEY
+from wardline.session import ensure_checkpoint_dir
 from wardline.sources.landing import list_partitions
+from wardline.sources.marks import latest_marks, pending_months
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -293,22 +295,42 @@ def safe_stems(spark, sf_dir):
 # -- incremental load -----------------------------------------------------------------------------
 
 
-def _loaded_and_batch(spark, sf_dir):
-    raw = raw_incidents(spark, sf_dir).withColumn("crime_id", F.nullif(F.trim("crime_id"), F.lit("")))
-    keyed = raw.where(F.col("month").isNotNull()).withColumn("force", F.trim("force"))
-    return keyed.where(F.col("month") <= LOADED_UP_TO), keyed.where(F.col("month") >= BATCH_FROM)
+def _keyed(spark, sf_dir):
+    return (
+        raw_incidents(spark, sf_dir)
+        .where(F.col("month").isNotNull())
+        .select(
+            blank_to_null(F.col("crime_id")).alias("crime_id"),
+            "month",
+            F.trim("force").alias("force"),
+            "crime_type",
+            "lsoa_code",
+            "_loaded_at",
+        )
+    )
+
+
+def _loaded_and_batch(rows):
+    return rows.where(F.col("month") <= LOADED_UP_TO), rows.where(F.col("month") >= BATCH_FROM)
+
+
+def _stored(rows):
+    """Rows written once to the checkpoint folder: a load reads its two tables several times."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    return rows.checkpoint()
 
 
 @query
 def incremental_new_rows(spark, sf_dir):
-    loaded, batch = _loaded_and_batch(spark, sf_dir)
-    return new_rows(batch, loaded).select("crime_id", "month", "force", "crime_type", "lsoa_code")
+    loaded, batch = _loaded_and_batch(_stored(_keyed(spark, sf_dir).drop("_loaded_at")))
+    return new_rows(batch, loaded)
 
 
 @query
 def incremental_reload_null_ids(spark, sf_dir):
     """Rows per month after the batch has been loaded twice: only rows without an ID come again."""
-    _, batch = _loaded_and_batch(spark, sf_dir)
+    _, batch = _loaded_and_batch(_keyed(spark, sf_dir).select(*ROW_KEY))
+    batch = _stored(batch)
     again = new_rows(batch, batch)
     total = batch.select("month", "crime_id").unionByName(again.select("month", "crime_id"))
     return total.groupBy("month").agg(
@@ -318,7 +340,7 @@ def incremental_reload_null_ids(spark, sf_dir):
 
 def _mark_log(spark, sf_dir):
     """One mark per force and month, set when the last row of the month was loaded."""
-    loaded, _ = _loaded_and_batch(spark, sf_dir)
+    loaded, _ = _loaded_and_batch(_keyed(spark, sf_dir))
     return loaded.groupBy("force", "month").agg(F.max("_loaded_at").alias("updated_at"))
 
 
@@ -388,7 +410,7 @@ def gate_min_rows(spark, sf_dir):
 @query
 def gate_loaded_pairs(spark, sf_dir):
     """Months of the batch, per force, that a table loaded up to a cut does not have."""
-    loaded, batch = _loaded_and_batch(spark, sf_dir)
+    loaded, batch = _loaded_and_batch(_keyed(spark, sf_dir))
     return quality.missing_pairs(batch.select("force", "month").distinct(), loaded)
 
 

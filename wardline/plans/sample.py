@@ -65,45 +65,38 @@ def order_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Raw column -> SQL expression over a joined line.
+_RAW_COLUMNS = {
+    "crime_id": (
+        "case l_linenumber when 7 then '' when 6 then '  ' when 5 then null "
+        "else concat(l_orderkey, '-', l_linenumber) end"
+    ),
+    "month": "if(l_partkey % 97 = 0, null, left(cast(cast(l_shipdate as date) as string), 7))",
+    "reported_by": "concat(r_name, ' Police')",
+    "falls_within": "concat(r_name, ' Police')",
+    "longitude": "if(l_suppkey % 50 = 0, null, (l_partkey % 1000) * 0.001d - 2)",
+    "latitude": "if(l_suppkey % 49 = 0, null, (l_suppkey % 1000) * 0.001d + 53)",
+    "location": "concat(' On or near Street ', l_suppkey)",
+    "lsoa_code": "concat('E', lpad(n_nationkey * 3 + l_partkey % 3, 8, '0'))",
+    "lsoa_name": "concat(' ', n_name, ' ', lpad(l_partkey % 3 + 1, 3, '0'), 'A ')",
+    "crime_type": "if(l_partkey % 101 = 0, null, elt(cast(l_partkey % 9 as int) + 1, {categories}))",
+    "last_outcome": (
+        f"case when l_returnflag = 'A' then '{OUTCOME_OPEN}' "
+        f"when l_returnflag = 'R' then '{OUTCOME_NO_SUSPECT}' "
+        f"when l_linestatus = 'O' then if(l_quantity > 25, ' ', null) else '{SAMPLE_RESOLVED}' end"
+    ),
+    "context": "cast(null as string)",
+    "force": "concat(' ', lower(r_name))",
+    "_loaded_at": "cast(date_add(cast(l_shipdate as date), l_linenumber) as timestamp_ntz)",
+}
+
+
 def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Both sides grow with the data: never broadcast one, and let a hot order be split at run time.
     lines = table(spark, sf_dir, "lineitem").join(
         order_areas(spark, sf_dir).hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
     )
-    part, supplier, number = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
-    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
-
-    crime_id = (
-        F.when(number == 7, "")
-        .when(number == 6, "  ")
-        .when(number == 5, F.lit(None))
-        .otherwise(F.concat_ws("-", F.col("l_orderkey"), number))
-    )
-    category = F.element_at(
-        F.array([F.lit(name) for name in SAMPLE_CATEGORIES]), (part % 9 + 1).cast("int")
-    )
-    no_outcome = F.when(F.col("l_quantity") > 25, " ")
-    outcome = (
-        F.when(flag == "A", OUTCOME_OPEN)
-        .when(flag == "R", OUTCOME_NO_SUSPECT)
-        .when(status == "O", no_outcome)
-        .otherwise(SAMPLE_RESOLVED)
-    )
-    area_code = F.lpad((F.col("n_nationkey") * 3 + part % 3).cast("string"), 8, "0")
-    area_number = F.lpad((part % 3 + 1).cast("string"), 3, "0")
-    return lines.select(
-        crime_id.alias("crime_id"),
-        F.when(part % 97 != 0, F.substring(F.col("l_shipdate").cast("string"), 1, 7)).alias("month"),
-        F.concat("r_name", F.lit(" Police")).alias("reported_by"),
-        F.concat("r_name", F.lit(" Police")).alias("falls_within"),
-        F.when(supplier % 50 != 0, (part % 1000) * F.lit(0.001) - 2.0).alias("longitude"),
-        F.when(supplier % 49 != 0, (supplier % 1000) * F.lit(0.001) + 53.0).alias("latitude"),
-        F.concat(F.lit(" On or near Street "), supplier.cast("string")).alias("location"),
-        F.concat(F.lit("E"), area_code).alias("lsoa_code"),
-        F.concat(F.lit(" "), "n_name", F.lit(" "), area_number, F.lit("A ")).alias("lsoa_name"),
-        F.when(part % 101 != 0, category).alias("crime_type"),
-        outcome.alias("last_outcome"),
-        F.lit(None).cast("string").alias("context"),
-        F.concat(F.lit(" "), F.lower("r_name")).alias("force"),
-        F.date_add(F.col("l_shipdate").cast("date"), number).cast("timestamp_ntz").alias("_loaded_at"),
+    categories = ", ".join(f"'{name}'" for name in SAMPLE_CATEGORIES)
+    return lines.selectExpr(
+        *[f"{sql.format(categories=categories)} as {name}" for name, sql in _RAW_COLUMNS.items()]
     )
