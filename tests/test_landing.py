@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import sample_rows, write_csv
 from wardline.functions.text import partition_key
-from wardline.sources.incident_files import discover_files
+from wardline.sources.incident_files import discover_files, to_raw
 from wardline.sources.landing import land, list_files, list_partitions, read_landed
 
 
@@ -46,3 +46,11 @@ def test_partition_key(spark):
         partition_key(F.lit("crime"), F.lit("2026-02"), F.lit("west-yorkshire"), F.lit("a.csv")).alias("k")
     )
     assert row.first()["k"] == "crime/part_year=2026/part_month=02/force=west-yorkshire/source_file=a.csv"
+
+
+def test_loading_one_landed_month(warehouse, tmp_path):
+    spark, store = warehouse.spark, str(tmp_path / "store")
+    land(discover_files(spark, _inbox(tmp_path, "2026-02", "2026-03")), store)
+    landed = read_landed(spark, store, "west-yorkshire", "2026-02")
+    assert warehouse.load(to_raw(landed, F.col("force")), "feb").inserted == 3
+    assert {r["month"] for r in warehouse.raw().collect()} == {"2026-02"}

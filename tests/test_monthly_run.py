@@ -92,5 +92,19 @@ def test_stream_takes_each_file_once(warehouse, tmp_path):
     assert drain() == 6
     put(tmp_path, "greater-manchester", "2026-01", copies=1)
     assert drain() == 9
-    pairs = {tuple(r) for r in warehouse.raw().select("force", "load_id").distinct().collect()}
-    assert pairs == {("west-yorkshire", "landing-0"), ("greater-manchester", "landing-1")}
+    loads = {r["force"]: r["load_id"] for r in warehouse.raw().select("force", "load_id").distinct().collect()}
+    first, second = loads["west-yorkshire"], loads["greater-manchester"]
+    assert first.endswith("-0") and second.endswith("-1")
+    assert first[:-2] == second[:-2] and "None" not in first
+
+
+def test_same_load_id_keeps_months_it_does_not_write(warehouse, tmp_path):
+    """A force fixed after the others were loaded is added under the same name without harm."""
+    put(tmp_path, "west-yorkshire", "2026-01")
+    put(tmp_path, "greater-manchester", "2026-01", copies=5)
+    run(warehouse, tmp_path, "2026-01", "jan")
+    put(tmp_path, "greater-manchester", "2026-01")
+    fixed = run(warehouse, tmp_path, "2026-01", "jan")
+    assert fixed.loaded == [("greater-manchester", "2026-01")] and fixed.load.inserted == 120
+    assert warehouse.raw().count() == 240
+    assert warehouse.mart("by_month").agg({"total_crimes": "sum"}).first()[0] == 240

@@ -40,7 +40,16 @@ def one_per_key(batch: DataFrame) -> DataFrame:
     """
     keyed = batch.where(F.col("crime_id").isNotNull())
     merged = keyed.groupBy(*ROW_KEY).agg(F.min(F.struct(*batch.columns)).alias("_row"))
-    return merged.select("_row.*").unionByName(batch.where(F.col("crime_id").isNull()))
+    return _gathered(merged.select("_row.*").unionByName(batch.where(F.col("crime_id").isNull())))
+
+
+def _gathered(rows: DataFrame) -> DataFrame:
+    """Bring rows of one force and month together again after a shuffle by key.
+
+    Rows that come straight from files are together already. The sizes of the parts are known at
+    run time: a large force-month is spread over tasks, small ones share one.
+    """
+    return rows.hint("rebalance", "force", "month")
 
 
 def _without(batch: DataFrame, keys: DataFrame) -> DataFrame:
@@ -53,6 +62,7 @@ def new_rows(
     existing: DataFrame,
     broadcast_bytes: int = BROADCAST_BYTES,
     dedupe_within_batch: bool = False,
+    pairs: list[tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Rows of batch whose (crime_id, month, force) is not in existing.
 
@@ -65,10 +75,13 @@ def new_rows(
     written to the checkpoint folder, so that their true size decides the rest: few are broadcast;
     many are joined by a sort-merge join against unique keys, where adaptive execution can split a
     hot key of the batch, and rows without an ID stay out of the shuffle.
+
+    pairs are the batch's (force, month), if the caller has them already.
     """
+    if pairs is None:
+        pairs = touched_pairs(batch)
     if dedupe_within_batch:
         batch = one_per_key(batch)
-    pairs = touched_pairs(batch)
     if pairs is not None:
         existing = existing.where(in_pairs(pairs))
     has_id = F.col("crime_id").isNotNull()
@@ -92,6 +105,5 @@ def new_rows(
         return batch
     if size["bytes"] + size["keys"] * _ROW_OVERHEAD <= broadcast_bytes:
         return _without(batch, F.broadcast(repeats))
-    return _without(keyed, repeats.hint("merge")).unionByName(
-        batch.where(F.col("crime_id").isNull())
-    )
+    keyless = batch.where(F.col("crime_id").isNull())
+    return _gathered(_without(keyed, repeats.hint("merge")).unionByName(keyless))

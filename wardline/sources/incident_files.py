@@ -15,6 +15,15 @@ FILE_GLOB = "*street*.csv"
 EXACT_NAME = r"^(\d{4}-\d{2})-(.+)-street\.csv$"
 
 UTF8, LATIN1 = "UTF-8", "ISO-8859-1"
+# Other names for the two.
+ENCODING_NAMES = {
+    "utf-8": UTF8,
+    "utf8": UTF8,
+    "utf-8-sig": UTF8,
+    "latin-1": LATIN1,
+    "latin1": LATIN1,
+    "iso-8859-1": LATIN1,
+}
 
 _CSV = {"header": True, "escape": '"', "mode": "PERMISSIVE"}
 
@@ -82,17 +91,14 @@ def file_layouts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def _read_alike(
-    spark: SparkSession, paths: Sequence[str], encoding: str, header: str | None
-) -> DataFrame:
+def _read_alike(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFrame:
     """Files that share encoding and header, read in one scan. No types are guessed."""
     reader = spark.read.options(**_CSV).option("encoding", encoding)
-    if header is not None:
-        # Column names from one file hold for all; the rest are checked against them.
-        names = reader.csv(paths[0]).columns
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-        reader = reader.schema(schema).option("enforceSchema", False)
-    return reader.csv(list(paths)).withColumn("source_file", F.col("_metadata.file_path"))
+    # Column names from one file hold for all, and each header is checked against them.
+    names = reader.csv(paths[0]).columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    rows = reader.schema(schema).option("enforceSchema", False).csv(list(paths))
+    return rows.withColumn("source_file", F.col("_metadata.file_path"))
 
 
 def read_any_encoding(
@@ -103,22 +109,19 @@ def read_any_encoding(
     Each file is read as UTF-8 if all of it is valid UTF-8, else as ISO-8859-1, which accepts any
     byte. A given encoding is the only one used. There is one scan per distinct encoding and header.
     """
-    if encoding is not None:
-        paths = [paths] if isinstance(paths, str) else list(paths)
-        return spark.read.options(**_CSV).option("encoding", encoding).csv(paths).withColumn(
-            "source_file", F.col("_metadata.file_path")
-        )
-    alike: dict[tuple[str, str], list[str]] = {}
+    given = encoding and ENCODING_NAMES.get(encoding.lower(), encoding)
     # One row per file, not per line.
-    for row in file_layouts(spark, paths).collect():
-        key = (UTF8 if row["utf8"] else LATIN1, row["header"])
-        alike.setdefault(key, []).append(row["path"])
-    if not alike:
+    layouts = file_layouts(spark, paths).collect()
+    undecodable = sorted(row["path"] for row in layouts if not row["utf8"])
+    if given == UTF8 and undecodable:
+        raise ValueError(f"could not decode as {UTF8}: {undecodable}")
+    if not layouts:
         raise ValueError(f"no lines in {paths}")
-    frames = [
-        _read_alike(spark, sorted(group), encoding, header)
-        for (encoding, header), group in sorted(alike.items())
-    ]
+    alike: dict[tuple[str, str], list[str]] = {}
+    for row in layouts:
+        used = given or (UTF8 if row["utf8"] else LATIN1)
+        alike.setdefault((used, row["header"]), []).append(row["path"])
+    frames = [_read_alike(spark, sorted(group), used) for (used, _), group in sorted(alike.items())]
     combined = frames[0]
     for frame in frames[1:]:
         combined = combined.unionByName(frame, allowMissingColumns=True)

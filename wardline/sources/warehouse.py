@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wardline.operators import marts
 from wardline.operators.cube import incident_cube
-from wardline.operators.incremental import new_rows
+from wardline.operators.incremental import in_pairs, new_rows, touched_pairs
 from wardline.operators.staging import clean, stage
 from wardline.schema import RAW_COLUMNS, RAW_PARTITIONS
 from wardline.sources import marks
@@ -85,25 +85,25 @@ class Warehouse:
     def load(self, batch: DataFrame, load_id: str, dedupe_within_batch: bool = False) -> Load:
         """Append the rows of a batch that are new.
 
-        The batch owns the partitions below its load_id. A batch that is repeated after a failure
-        replaces them, so no row is lost or doubled; it is compared with the rows of other batches
-        only.
+        A force-month written under a load_id belongs to that batch. Repeated after a failure, the
+        batch replaces what it wrote before, so no row is lost or doubled, and it is compared with
+        the rows of other batches only. A load_id must not be used for another batch.
         """
         others = self.raw().where(F.col("load_id") != load_id)
-        fresh = new_rows(batch, others, dedupe_within_batch=dedupe_within_batch)
+        pairs = touched_pairs(batch)
+        fresh = new_rows(batch, others, dedupe_within_batch=dedupe_within_batch, pairs=pairs)
         stored = [name for name in RAW_COLUMNS if name not in RAW_PARTITIONS]
         loose = [name for name in RAW_PARTITIONS if name != "load_id"]
-        # Spread a large force-month over tasks and gather small ones: sizes are known at run time.
-        spread = fresh.select(*stored, *loose).hint("rebalance", "force", "month")
-        # A streaming batch has a session of its own, which alone knows the view made for {rows}.
-        spread.sparkSession.sql(
-            f"INSERT OVERWRITE TABLE {self._name('raw', 'incidents')} "
-            f"PARTITION (load_id = :load_id, {', '.join(loose)}) SELECT * FROM {{rows}}",
-            args={"load_id": load_id},
-            rows=spread,
-        )
-        # Counted from what was written: one column of this batch's own partitions.
-        counts = self.loaded(load_id).agg(
+        rows = fresh.select(*stored, F.lit(load_id).alias("load_id"), *loose)
+        # A streaming batch has a session of its own.
+        with _replacing_partitions(rows.sparkSession):
+            rows.write.mode("overwrite").insertInto(self._name("raw", "incidents"))
+        # Counted from what was written: one column of the force-months this batch touched.
+        written = self.loaded(load_id)
+        if pairs is not None:
+            unnamed = F.col("force").isNull() | F.col("month").isNull()
+            written = written.where(in_pairs(pairs) | unnamed)
+        counts = written.agg(
             F.count(F.lit(1)).alias("inserted"),
             F.count_if(F.col("crime_id").isNull()).alias("keyless"),
         )

@@ -21,12 +21,13 @@ def load_new_files(
 ) -> StreamingQuery:
     """Start loading every file not loaded before, and end when there are no more.
 
-    The checkpoint remembers files. A batch that is repeated after a failure has the number it had
-    before, hence the same load_id, and replaces what it had written.
+    The checkpoint remembers files and the query's id. A batch that is repeated after a failure has
+    the id and number it had before, hence the same load_id, and replaces what it had written.
     """
 
     def append(batch: DataFrame, number: int) -> None:
-        warehouse.load(to_raw(batch, F.col("force")), f"{name}-{number}")
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        warehouse.load(to_raw(batch, F.col("force")), f"{name}-{query_id}-{number}")
 
     files = (
         warehouse.spark.readStream.schema(FILE_SCHEMA)
