@@ -84,6 +84,37 @@ def test_new_rows_are_those_brute_force_finds(spark, limit):
     assert any(r[0] == "hot" for r in expected) and not any(r[0] == "id0" and r[1] == "2026-01" for r in expected)
 
 
+def test_hot_key_is_split_in_the_shuffled_join(spark):
+    """A third of the rows on one key, a third without ID: the join's hot partition is divided."""
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        ids = spark.range(0, 300_000, 1, 8).withColumn("third", F.col("id") % 3)
+        batch = ids.select(
+            F.expr("case third when 0 then 'hot' when 1 then concat('k', id) end").alias("crime_id"),
+            F.expr("concat('2026-0', third + 1)").alias("month"),
+            F.lit("north").alias("force"),
+            F.md5(F.col("id").cast("string")).alias("note"),
+        )
+        existing = batch.where("crime_id like '%1'").drop("note")
+        expected = batch.where("crime_id is null or crime_id not like '%1'").count()
+        found = incremental.new_rows(batch, existing, broadcast_bytes=0).agg(
+            F.count("note"), F.max("note")
+        )
+        assert found.collect()[0][0] == expected
+        assert "SortMergeJoin(skew=true)" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_fresh_months_are_passed_on_without_a_join(spark):
     existing = _keys(spark, [("a", "2026-01", "north", "old")])
     batch = _keys(spark, [("a", "2026-02", "north", "new")])

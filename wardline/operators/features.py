@@ -22,8 +22,9 @@ FEATURE_COLUMNS = (
 
 
 def most_common(value: str, amount: str) -> Column:
-    """Value with the largest summed amount over pre-counted rows; ties go to the smallest value."""
-    return F.min_by(value, F.struct(-F.col(amount), F.col(value)))
+    """Non-null value with the largest amount over counted rows; ties go to the smallest value."""
+    order = F.struct(-F.col(amount), F.col(value))
+    return F.min_by(value, F.when(F.col(value).isNotNull(), order))
 
 
 def modes(frame: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
@@ -82,31 +83,29 @@ def change(current: Column, previous: Column) -> Column:
     ).cast(MOM_TYPE)
 
 
-def _described(counts: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Total, top three and distribution of each group, from counted rows.
-
-    The arrays hold as many entries as a group has categories.
-    """
+def _ranked_entries() -> Column:
+    """Categories of a group in order of rank: as many entries as the group has categories."""
     entry = F.struct("rank", "crime_type", "pct")
-    ranked = F.sort_array(F.collect_list(F.when(F.col("rank").isNotNull(), entry)))
-    described = ranked_shares(counts, by).groupBy(*by).agg(
-        F.sum("incidents").alias("total_crimes"), ranked.alias("_ranked")
-    )
-    return described.select(
-        *by,
-        "total_crimes",
-        F.transform(F.slice("_ranked", 1, 3), lambda e: e["crime_type"]).alias("top_categories"),
-        F.transform(
-            "_ranked", lambda e: F.struct(e["crime_type"].alias("category"), e["pct"].alias("pct"))
-        ).alias("distribution"),
-    )
+    return F.sort_array(F.collect_list(F.when(F.col("rank").isNotNull(), entry)))
+
+
+def _lists(ranked: str) -> dict[str, Column]:
+    return {
+        "top_categories": F.transform(F.slice(ranked, 1, 3), lambda e: e["crime_type"]),
+        "distribution": F.transform(
+            ranked, lambda e: F.struct(e["crime_type"].alias("category"), e["pct"].alias("pct"))
+        ),
+    }
 
 
 def feature_rows(frame: DataFrame) -> DataFrame:
     """One feature row per force and period, all at once, compared with the period before it."""
+    described = ranked_shares(type_counts(frame)).groupBy(*GROUP).agg(
+        F.sum("incidents").alias("total_crimes"), _ranked_entries().alias("_ranked")
+    )
     before = F.lag("total_crimes").over(Window.partitionBy("falls_within").orderBy("month"))
     return (
-        _described(type_counts(frame), GROUP)
+        described.withColumns(_lists("_ranked"))
         .withColumn("mom_change", F.when(before.isNotNull(), change(F.col("total_crimes"), before)))
         .withColumnsRenamed({"falls_within": "force", "month": "period"})
         .select(*FEATURE_COLUMNS)
@@ -119,33 +118,30 @@ def extract_features(current: DataFrame, previous: DataFrame | None = None) -> D
     Force and period are the most frequent ones. mom_change is null when no previous frame is given
     and has null figures when that frame is empty. An empty current frame is an error.
     """
-    # One pass over the rows; what follows works on (forces x months x categories) counts at most.
-    counts = type_counts(current)
-    whole = counts.groupBy(F.lit(0).alias("_all"), "crime_type").agg(
-        F.sum("incidents").alias("incidents")
+    # One pass over the rows. The counts, forces x months x categories of them at most, are then
+    # summed by force, by month and by category together.
+    keys = [*GROUP, "crime_type"]
+    sums = type_counts(current).groupingSets([[key] for key in keys], *keys).agg(
+        F.sum("incidents").alias("incidents"), F.grouping("crime_type").alias("_other")
+    )
+    # Sums by force or month have no category, hence no rank and no share.
+    whole = ranked_shares(sums, ["_other"]).agg(
+        most_common("falls_within", "incidents").alias("force"),
+        most_common("month", "incidents").alias("period"),
+        F.sum(F.when(F.col("_other") == 0, F.col("incidents"))).alias("total_crimes"),
+        _ranked_entries().alias("_ranked"),
     )
-
-    def mode_of(column: str) -> Column:
-        summed = counts.dropna(subset=[column]).groupBy(column).agg(F.sum("incidents").alias("_n"))
-        return summed.agg(most_common(column, "_n")).scalar()
-
     if previous is None:
         mom_change = F.lit(None).cast(MOM_TYPE)
     else:
         mom_change = change(F.col("total_crimes"), previous.agg(F.count(F.lit(1))).scalar())
-    described = _described(whole, ["_all"]).select(
-        mode_of("falls_within").alias("force"),
-        mode_of("month").alias("period"),
-        "total_crimes",
-        "top_categories",
-        "distribution",
-        mom_change.alias("mom_change"),
-    )
-    # A global aggregate keeps one row even for an empty frame, which is then refused.
-    only = described.agg(*[F.any_value(name).alias(name) for name in FEATURE_COLUMNS])
-    return only.withColumns(
-        {
-            name: F.coalesce(name, F.raise_error(F.lit(f"cannot extract features: no {name}")))
-            for name in ("force", "period")
-        }
+    named = {
+        name: F.coalesce(name, F.raise_error(F.lit(f"cannot extract features: no {name}")))
+        for name in ("force", "period")
+    }
+    return (
+        whole.withColumns(_lists("_ranked"))
+        .withColumn("mom_change", mom_change)
+        .withColumns(named)
+        .select(*FEATURE_COLUMNS)
     )

@@ -418,7 +418,7 @@ def oracle_sql() -> dict[str, str]:
         "latest_watermark": _sql(
             "select force, month, updated_at::timestamp::varchar as updated_at from marks", "marks"
         ),
-        "pending_months_by_force": _sql(
+        "pending_months": _sql(
             """select force, strftime(m, '%Y-%m') as month,
               strftime(m - interval 1 month, '%Y-%m') as previous
             from (select force, unnest(generate_series(
@@ -428,7 +428,7 @@ def oracle_sql() -> dict[str, str]:
             "marks",
             "staged",
         ),
-        "target_month_of_runs": """
+        "target_month": """
             select ts::date::varchar as run_date,
               strftime(date_trunc('month', ts) - interval 1 day, '%Y-%m') as target_month,
               count(*) as events

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.functions.months import previous_month, target_month
+from wardline.functions import months
 from wardline.functions.numeric import round_half_away
 from wardline.functions.text import blank_to_null, safe_stem
 from wardline.operators import features, marts, narrative, quality
@@ -19,8 +19,8 @@ from wardline.plans.dashboard import Selection
 from wardline.plans.sample import raw_incidents, table
 from wardline.schema import ROW_KEY
 from wardline.session import ensure_checkpoint_dir
+from wardline.sources import marks
 from wardline.sources.landing import list_partitions
-from wardline.sources.marks import latest_marks, pending_months
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -346,23 +346,24 @@ def _mark_log(spark, sf_dir):
 
 @query
 def latest_watermark(spark, sf_dir):
-    marks = latest_marks(_mark_log(spark, sf_dir))
-    return marks.withColumn("updated_at", F.col("updated_at").cast("string"))
+    latest = marks.latest_marks(_mark_log(spark, sf_dir))
+    return latest.withColumn("updated_at", F.col("updated_at").cast("string"))
 
 
 @query
-def pending_months_by_force(spark, sf_dir):
-    marks = latest_marks(_mark_log(spark, sf_dir))
+def pending_months(spark, sf_dir):
+    latest = marks.latest_marks(_mark_log(spark, sf_dir))
     end = cleaned(spark, sf_dir).agg(F.max("month")).scalar()
-    return pending_months(marks, end).withColumn("previous", previous_month(F.col("month")))
+    pending = marks.pending_months(latest, end)
+    return pending.withColumn("previous", months.previous_month(F.col("month")))
 
 
 @query
-def target_month_of_runs(spark, sf_dir):
+def target_month(spark, sf_dir):
     runs = table(spark, sf_dir, "events").select(F.to_date("ts").alias("run_date"))
     return runs.groupBy(
         F.col("run_date").cast("string").alias("run_date"),
-        target_month(F.col("run_date")).alias("target_month"),
+        months.target_month(F.col("run_date")).alias("target_month"),
     ).agg(F.count(F.lit(1)).alias("events"))
 
 
