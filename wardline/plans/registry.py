@@ -247,7 +247,7 @@ def feature_rows(spark, sf_dir):
 
 @query
 def whole_table_features(spark, sf_dir):
-    """All rows as one report, against all rows of one resolved outcome as the period before."""
+    """All rows as one report, with the rows that have no outcome standing in for the period before."""
     rows = report_rows(spark, sf_dir)
     before = rows.where(F.col("last_outcome").isNull())
     row = features.extract_features(rows, before)
@@ -417,15 +417,15 @@ def gate_loaded_pairs(spark, sf_dir):
 
 @query
 def gate_month_format(spark, sf_dir):
-    """Some regions write the month in words: in every row, or in one row of nine or eleven."""
-    words = F.concat(F.lit("M"), F.col("month"))
+    """Months with a letter in front: everywhere in one force, in part of two others."""
+    wrong = F.concat(F.lit("M"), F.col("month"))
     number = F.length("location")
-    wordy = (
-        ((F.col("force") == "europe"))
+    affected = (
+        (F.col("force") == "europe")
         | ((F.col("force") == "asia") & (number % 2 == 0))
         | ((F.col("force") == "africa") & (F.col("crime_type") == "Drugs") & (number % 2 == 0))
     )
-    rows = cleaned(spark, sf_dir).withColumn("month", F.when(wordy, words).otherwise(F.col("month")))
+    rows = cleaned(spark, sf_dir).withColumn("month", F.when(affected, wrong).otherwise(F.col("month")))
     return quality.month_format(rows, by=["force"])
 
 
