@@ -1,7 +1,6 @@
 """Quality gates."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from wardline.operators import quality
 from wardline.operators.quality import GateError, Rule
