@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "wardline", master: str | None = None, **settings: str) -> SparkSession:
@@ -22,10 +24,34 @@ def build_session(app_name: str = "wardline", master: str | None = None, **setti
     return builder.getOrCreate()
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder every executor can read: the one the cluster names in spark.checkpoint.dir.
+
+    Only a session that runs in one process may do without that setting; it gets a folder beside its
+    tables. Anywhere else a default would be a disk of the driver's, so the job stops here instead.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+    return os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; only without one, a folder beside the tables."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        beside = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
-        context.setCheckpointDir(named or beside)
+    """Let checkpoint() write to the shared folder, unless the session has set one already."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
+def written(frame: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder as Parquet and read it back.
+
+    Cuts the lineage, so that losing an executor later costs a read and not a recomputation, and gives the
+    planner the frame's true size. The files stay until the folder is cleared.
+    """
+    spark = frame.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
