@@ -2,7 +2,7 @@
 
 import pytest
 
-from wardline.operators.features import extract_features, feature_rows, modes, ranked_shares, type_counts
+from wardline.operators.features import extract_features, feature_rows, left_out, modes, ranked_shares, type_counts
 
 SCHEMA = "crime_type string, falls_within string, month string, last_outcome string"
 
@@ -74,10 +74,22 @@ def test_force_and_period_of_a_mixed_frame(spark):
 def test_bulk_rows_compare_with_the_period_before(spark):
     rows = frame(spark, "AAB", "N", "2025-11").union(frame(spark, "AABB", "N", "2026-01")).union(frame(spark, "C", "S", "2026-01")).union(frame(spark, "D", None, "2026-01"))
     found = {(r["force"], r["period"]): r for r in feature_rows(rows).collect()}
-    assert len(found) == 4
-    assert tuple(found["N", "2026-01"]["mom_change"]) == (3, 1, 33.3, "increase")
-    assert found["N", "2025-11"]["mom_change"] is None and found["S", "2026-01"]["mom_change"] is None
-    assert found[None, "2026-01"]["top_categories"] == ["D"]
+    assert set(found) == {("N", "2025-11"), ("N", "2026-01"), ("S", "2026-01")}
+    assert all(row["mom_change"] is None for row in found.values())  # nothing from the month just before
+
+
+def test_change_is_against_the_calendar_month_before(spark):
+    months = {"2025-12": "AAB", "2026-01": "AABB", "2026-03": "A", None: "BBB", "2026-1": "C", "2026-13": "C"}
+    rows = None
+    for month, types in months.items():
+        part = frame(spark, types, "N", month)
+        rows = part if rows is None else rows.union(part)
+    rows = rows.union(frame(spark, "AA", None, "2026-01"))
+    found = {r["period"]: r["mom_change"] for r in feature_rows(rows).collect()}
+    assert set(found) == {"2025-12", "2026-01", "2026-03"}
+    assert tuple(found["2026-01"]) == (3, 1, 33.3, "increase")
+    assert found["2025-12"] is None and found["2026-03"] is None
+    assert tuple(left_out(rows).first()) == (2, 5)
 
 
 def test_modes_break_ties_by_value(spark):

@@ -24,8 +24,8 @@ def test_first_load_inserts_every_row(warehouse, sample_csv):
     assert rows.where("month is null or crime_type is null").count() == 0
     assert {r[0] for r in rows.select("crime_type").collect()} <= set(CATEGORIES)
     assert rows.where("_loaded_at is null").count() == 0
-    place = rows.where("crime_id = 'abc123'").first()
-    assert (place["longitude"], place["latitude"]) == (-1.87, 53.94)
+    place = rows.where("crime_id = 'wl-0001'").first()
+    assert (place["longitude"], place["latitude"]) == (-2.5, 54.25)
     assert rows.columns == list(RAW_COLUMNS)
 
 

@@ -35,15 +35,22 @@ def test_run_loads_gates_and_advances(warehouse, tmp_path):
     assert warehouse.ready()
     assert warehouse.mark("west-yorkshire") == "2026-01" and warehouse.mark("greater-manchester") is None
 
-    # Two months on: one force has both, the other one of them; a force without a mark gets the last.
+    # Two months on: one force has both, the other one of them and a month that was held back.
     put(tmp_path, "west-yorkshire", "2026-02")
     put(tmp_path, "west-yorkshire", "2026-03")
     put(tmp_path, "greater-manchester", "2026-03")
     planned = sorted(map(tuple, plan_months(warehouse, "2026-03", FORCES).collect()))
-    assert planned == [("greater-manchester", "2026-03"), ("west-yorkshire", "2026-02"), ("west-yorkshire", "2026-03")]
+    assert planned == [
+        ("greater-manchester", "2026-01"),
+        ("greater-manchester", "2026-02"),
+        ("greater-manchester", "2026-03"),
+        ("west-yorkshire", "2026-02"),
+        ("west-yorkshire", "2026-03"),
+    ]
     second = run(warehouse, tmp_path, "2026-03", "mar")
-    assert second.held_back == {} and len(second.loaded) == 3
-    assert warehouse.mark("west-yorkshire") == warehouse.mark("greater-manchester") == "2026-03"
+    assert set(second.held_back) == {("greater-manchester", "2026-01"), ("greater-manchester", "2026-02")}
+    assert len(second.loaded) == 3
+    assert warehouse.mark("west-yorkshire") == "2026-03" and warehouse.mark("greater-manchester") is None
     assert warehouse.raw().count() == 480
     assert warehouse.mart("by_month").agg({"total_crimes": "sum"}).first()[0] == 480
 
@@ -54,11 +61,45 @@ def test_run_loads_gates_and_advances(warehouse, tmp_path):
     warehouse.create_staging_view()
     assert warehouse.spark.table(STAGING_VIEW).count() == 480
 
-    # Nothing is pending now.
+    # Nothing that has a good file is pending now.
     third = run(warehouse, tmp_path, "2026-03", "again")
     assert third.load is None and third.loaded == []
 
 
+def test_month_that_comes_late_is_loaded_and_no_month_twice(warehouse, tmp_path):
+    for month in ("2026-01", "2026-03"):
+        put(tmp_path, "west-yorkshire", month)
+    first = run(warehouse, tmp_path, "2026-03", "mar", start="2026-01")
+    assert first.loaded == [("west-yorkshire", "2026-01"), ("west-yorkshire", "2026-03")]
+    assert first.held_back["west-yorkshire", "2026-02"] == "no file"
+    assert warehouse.mark("west-yorkshire") == "2026-01" and warehouse.mark("greater-manchester") is None
+    put(tmp_path, "west-yorkshire", "2026-04")
+    second = run(warehouse, tmp_path, "2026-04", "apr")
+    assert ("west-yorkshire", "2026-04") in second.loaded and warehouse.mark("west-yorkshire") == "2026-01"
+    put(tmp_path, "west-yorkshire", "2026-02")
+    third = run(warehouse, tmp_path, "2026-04", "late")
+    assert third.loaded == [("west-yorkshire", "2026-02")]
+    assert warehouse.mark("west-yorkshire") == "2026-04"
+    assert {r["month"]: r["count"] for r in warehouse.raw().groupBy("month").count().collect()} == dict.fromkeys(
+        ("2026-01", "2026-02", "2026-03", "2026-04"), 120
+    )
+    grown = {name: rows_of(warehouse.mart(name)) for name in MART_NAMES}
+    warehouse.refresh_marts()
+    assert grown == {name: rows_of(warehouse.mart(name)) for name in MART_NAMES}
+    # What a new force was refused at first stays planned as well.
+    put(tmp_path, "greater-manchester", "2026-02")
+    assert run(warehouse, tmp_path, "2026-04", "gm").loaded == [("greater-manchester", "2026-02")]
+
+
+def test_rules_read_only_the_months_that_changed(warehouse, tmp_path):
+    for month in ("2026-01", "2026-02"):
+        put(tmp_path, "west-yorkshire", month)
+    run(warehouse, tmp_path, "2026-02", "feb", start="2026-01")
+    plan = warehouse.models(["2026-02"])["staging"]._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "month" in filters and "2026-02" in filters
+
+
 def test_failed_column_test_moves_no_mark_and_repeat_is_safe(warehouse, tmp_path):
     put(tmp_path, "west-yorkshire", "2026-01")
     put(tmp_path, "greater-manchester", "2026-01")
@@ -73,7 +114,7 @@ def test_month_loaded_before_is_held_back(warehouse, tmp_path):
     keyed = [row for row in sample_rows("2026-01", 60) if row.get("Crime ID")]
     write_csv(tmp_path / "inbox" / "2026-01-west-yorkshire-street.csv", keyed)
     run(warehouse, tmp_path, "2026-01", "jan")
-    warehouse.set_marks(warehouse.spark.createDataFrame([("west-yorkshire", "2025-12")], "force string, month string"))
+    warehouse.reload_after("west-yorkshire", "2025-12")
     repeated = run(warehouse, tmp_path, "2026-01", "other")
     assert repeated.held_back["west-yorkshire", "2026-01"] == "no new rows"
     assert repeated.held_back["greater-manchester", "2026-01"] == "no file"

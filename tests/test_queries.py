@@ -8,6 +8,7 @@ from check import compare
 from wardline.operators import marts
 from wardline.operators.cube import incident_cube, unit_cube
 from wardline.operators.staging import clean
+from wardline.plans import oracle, registry
 from wardline.plans.sample import raw_incidents
 
 SF = "/root/testdata/sf0.001"
@@ -18,19 +19,21 @@ def plan(frame):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(oracle.oracle_sql())
+    assert registry.queries().items() <= entry.queries().items()
+    assert oracle.oracle_sql().items() <= entry.oracle_sql().items()
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_equals_its_sql(spark, name):
     assert compare(spark, SF, name) is None
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_query_pairs_rows_without_a_key(spark, name):
     text = plan(entry.queries()[name](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

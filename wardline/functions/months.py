@@ -20,6 +20,11 @@ def previous_month(month: Column) -> Column:
     return shift_month(month, -1)
 
 
+def month_number(month: Column) -> Column:
+    """Months since year 0, so that neighbouring months differ by one."""
+    return F.year(_first_day(month)) * 12 + F.month(_first_day(month))
+
+
 def target_month(run_date: Column) -> Column:
     """The calendar month before the one a run falls in."""
     return F.date_format(F.add_months(F.trunc(run_date, "month"), -1), _FORMAT)

@@ -31,7 +31,7 @@ def percent_text(pct: Column) -> Column:
 def safe_stem(force: Column, period: Column) -> Column:
     """File stem of a report: word characters and dashes only, blanks as underscores."""
     # (?U): accented letters count as word characters.
-    kept = F.trim(F.regexp_replace(force, r"(?U)[^\w\s-]", ""))
+    kept = F.regexp_replace(F.regexp_replace(force, r"(?U)[^\w\s-]", ""), r"(?U)^\s+|\s+$", "")
     return F.concat_ws(
         "_", F.replace(kept, F.lit(" "), F.lit("_")), F.regexp_replace(period, r"(?U)[^\w-]", "")
     )

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardline.functions.months import previous_month
 from wardline.functions.numeric import one_decimal, safe_ratio
-from wardline.schema import MOM_TYPE
+from wardline.schema import CALENDAR_MONTH, MOM_TYPE
 
 GROUP = ("falls_within", "month")
 FEATURE_COLUMNS = (
@@ -98,12 +99,32 @@ def _lists(ranked: str) -> dict[str, Column]:
     }
 
 
+def _reportable() -> Column:
+    """Rows a report can be about: with a force, and a month of the calendar."""
+    return F.col("falls_within").isNotNull() & F.coalesce(F.col("month").rlike(CALENDAR_MONTH), F.lit(False))
+
+
+def left_out(frame: DataFrame) -> DataFrame:
+    """How many rows belong to no report: without a force, or without a well-formed month."""
+    without_month = F.col("falls_within").isNotNull() & ~_reportable()
+    return frame.agg(
+        F.count_if(F.col("falls_within").isNull()).alias("without_force"),
+        F.count_if(without_month).alias("without_month"),
+    )
+
+
 def feature_rows(frame: DataFrame) -> DataFrame:
-    """One feature row per force and period, all at once, compared with the period before it."""
-    described = ranked_shares(type_counts(frame)).groupBy(*GROUP).agg(
+    """One feature row per force and period, all at once, compared with the calendar month before.
+
+    Where that month has no rows there is no change. Rows without a force or a well-formed month make no
+    feature row and are nobody's month before; left_out counts them.
+    """
+    described = ranked_shares(type_counts(frame.where(_reportable()))).groupBy(*GROUP).agg(
         F.sum("incidents").alias("total_crimes"), _ranked_entries().alias("_ranked")
     )
-    before = F.lag("total_crimes").over(Window.partitionBy("falls_within").orderBy("month"))
+    by_month = Window.partitionBy("falls_within").orderBy("month")
+    adjacent = F.lag("month").over(by_month) == previous_month(F.col("month"))
+    before = F.when(adjacent, F.lag("total_crimes").over(by_month))
     return (
         described.withColumns(_lists("_ranked"))
         .withColumn("mom_change", F.when(before.isNotNull(), change(F.col("total_crimes"), before)))

@@ -23,22 +23,41 @@ from wardline.schema import (
 
 HOTSPOT_KEYS = ("lsoa_code", "lsoa_name", "force", "month")
 
+# Columns of the marts.
 MART_COLUMNS: dict[str, tuple[str, ...]] = {
     "by_category": (
-        *("year", "month_num", "month", "force", "crime_type"),
-        *("total_crimes", "crimes_with_id", "pct_under_investigation"),
-    ),
-    "by_month": (
-        *("year", "month_num", "month", "force"),
-        *("total_crimes", "prev_year_crimes", "yoy_pct_change"),
+        "year",
+        "month_num",
+        "month",
+        "force",
+        "crime_type",
+        "total_crimes",
+        "crimes_with_id",
+        "pct_under_investigation",
     ),
+    "by_month": ("year", "month_num", "month", "force", "total_crimes", "prev_year_crimes", "yoy_pct_change"),
     "by_force": (
-        *("force", "year", "month", "total_crimes", "distinct_crime_types"),
-        *("pct_under_investigation", "pct_no_suspect", "pct_resolved"),
+        "force",
+        "year",
+        "month",
+        "total_crimes",
+        "distinct_crime_types",
+        "pct_under_investigation",
+        "pct_no_suspect",
+        "pct_resolved",
     ),
     "hotspots": (
-        *("lsoa_code", "lsoa_name", "district", "force", "year", "month"),
-        *("centroid_lat", "centroid_lon", "total_crimes", *HOTSPOT_COUNTS, "hotspot_tier"),
+        "lsoa_code",
+        "lsoa_name",
+        "district",
+        "force",
+        "year",
+        "month",
+        "centroid_lat",
+        "centroid_lon",
+        "total_crimes",
+        *HOTSPOT_COUNTS,
+        "hotspot_tier",
     ),
 }
 

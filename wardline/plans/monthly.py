@@ -1,7 +1,9 @@
 """The monthly run: find pending files, gate, land, load, gate, rebuild, test, advance the marks.
 
 All forces and months go through each step together. A force-month that fails a gate is held back
-with the reason and its mark stays; failing column tests stop the run before any mark moves.
+with the reason and stays pending: its force's mark goes no further than the month before it, whatever
+later months are loaded, and those are not loaded twice. Failing column tests, which look at the months
+that changed, stop the run before anything is logged and any mark moves.
 """
 
 from __future__ import annotations
@@ -11,11 +13,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardline.functions.months import previous_month
 from wardline.operators.quality import RULES, Rule, missing_pairs, require_rules, row_counts
 from wardline.schema import FORCES, MIN_FILE_ROWS
 from wardline.sources.incident_files import discover_files, force_of, read_files, to_raw
 from wardline.sources.landing import land
-from wardline.sources.marks import pending_months
+from wardline.sources.marks import HELD, LOADED, pending_months
 from wardline.sources.warehouse import Load, Warehouse
 
 
@@ -27,16 +30,27 @@ class MonthlyRun:
 
 
 def plan_months(
-    warehouse: Warehouse, through: str, forces: tuple[str, ...] = FORCES
+    warehouse: Warehouse, through: str, forces: tuple[str, ...] = FORCES, start: str | None = None
 ) -> DataFrame:
-    """(force, month) to load: after each mark up to through; only through for a new force."""
+    """(force, month) to load, up to through: months after each mark and months held back before.
+
+    A force without a mark gets the months from the first one that was planned for it before, else from start
+    on (start included), else only through. Months that are loaded already, beyond a gap, are left out.
+    """
     spark = warehouse.spark
+    keys = ["force", "month"]
     # One row per force.
     wanted = spark.createDataFrame([(force,) for force in forces], "force string")
-    marked = warehouse.marks().select("force", "month")
-    pending = pending_months(wanted.join(marked, "force"), through)
-    unmarked = wanted.join(marked, "force", "left_anti").select("force", F.lit(through).alias("month"))
-    return pending.unionByName(unmarked)
+    marked = warehouse.marks().select(*keys)
+    status = warehouse.month_status().join(wanted, "force").where(F.col("month") <= through)
+    unmarked = wanted.join(marked, "force", "left_anti")
+    tried = status.groupBy("force").agg(F.min("month").alias("tried"))
+    first = F.least("tried", F.lit(through if start is None else start))
+    unmarked = unmarked.join(tried, "force", "left").select("force", previous_month(first).alias("month"))
+    begun = wanted.join(marked, "force").unionByName(unmarked)
+    held = status.where(F.col("status") == HELD).select(*keys)
+    planned = pending_months(begun, through).unionByName(held).distinct()
+    return planned.join(status.where(F.col("status") == LOADED), keys, "left_anti")
 
 
 def run_monthly(
@@ -48,14 +62,15 @@ def run_monthly(
     forces: tuple[str, ...] = FORCES,
     min_rows: int = MIN_FILE_ROWS,
     rules: tuple[Rule, ...] = RULES,
+    start: str | None = None,
 ) -> MonthlyRun:
-    """Load every pending month that has a file in the inbox.
+    """Load every pending month that has a file in the inbox; start is where a new force begins.
 
     Repeating a run with the same load_id after a failure is safe: its rows are replaced.
     """
     spark, run = warehouse.spark, MonthlyRun()
     keys = ["force", "month"]
-    planned = plan_months(warehouse, through, forces)
+    planned = plan_months(warehouse, through, forces, start)
     # One row per pending file or pair: forces x months at most.
     found = planned.join(discover_files(spark, inbox, forces), keys, "left").collect()
     for row in found:
@@ -63,6 +78,7 @@ def run_monthly(
             run.held_back[row["force"], row["month"]] = "no file"
     paths = [row["path"] for row in found if row["path"]]
     if not paths:
+        _log(warehouse, run)
         return run
 
     counted = row_counts(read_files(spark, paths), ["source_file"], min_rows)
@@ -72,6 +88,7 @@ def run_monthly(
             run.held_back[row["force"], row["month"]] = f"{row['file_name']}: under {min_rows} rows"
     good = [row for row in found if row["path"] and (row["force"], row["month"]) not in run.held_back]
     if not good:
+        _log(warehouse, run)
         return run
 
     files = spark.createDataFrame(good, "force string, month string, path string, file_name string")
@@ -88,8 +105,13 @@ def run_monthly(
 
     changed = [row["month"] for row in warehouse.loaded(load_id).select("month").distinct().collect()]
     warehouse.refresh_marts(changed if warehouse.ready() else None)
-    require_rules(warehouse.models(), rules)
-    if run.loaded:
-        latest = spark.createDataFrame(run.loaded, "force string, month string")
-        warehouse.set_marks(latest.groupBy("force").agg(F.max("month").alias("month")))
+    require_rules(warehouse.models(changed), rules)
+    _log(warehouse, run)
+    warehouse.advance_marks()
     return run
+
+
+def _log(warehouse: Warehouse, run: MonthlyRun) -> None:
+    """Remember every planned month, also those held back, so that none is lost behind a mark."""
+    entries = [(*pair, LOADED) for pair in run.loaded] + [(*pair, HELD) for pair in run.held_back]
+    warehouse.log_months(sorted(entries))

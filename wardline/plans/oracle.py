@@ -50,11 +50,17 @@ select
 from raw where month is not null and crime_type is not null
 """
 
-_PARTS["by_category"] = """
+
+
+def _share_where(condition: str) -> str:
+    """Percentage of a group's rows that meet a condition."""
+    return f"round(100.0 * count(*) filter (where {condition}) / count(*), 2)"
+
+
+_PARTS["by_category"] = f"""
 select year, month_num, month, force, crime_type, count(*) as total_crimes,
   count(crime_id) as crimes_with_id,
-  round(100.0 * count(*) filter (where last_outcome = 'Under investigation') / count(*), 2)
-    as pct_under_investigation
+  {_share_where("last_outcome = 'Under investigation'")} as pct_under_investigation
 from staged group by all
 """
 
@@ -67,15 +73,15 @@ from (
 )
 """
 
-_PARTS["by_force"] = """
+_NO_SUSPECT = "'Investigation complete; no suspect identified'"
+
+_PARTS["by_force"] = f"""
 select force, year, month, count(*) as total_crimes,
   count(distinct crime_type) as distinct_crime_types,
-  round(100.0 * sum((last_outcome = 'Under investigation')::int) / count(*), 2)
-    as pct_under_investigation,
-  round(100.0 * sum((last_outcome = 'Investigation complete; no suspect identified')::int)
-    / count(*), 2) as pct_no_suspect,
-  round(100.0 * sum((last_outcome not in ('Under investigation', 'No outcome recorded',
-    'Investigation complete; no suspect identified'))::int) / count(*), 2) as pct_resolved
+  {_share_where("last_outcome = 'Under investigation'")} as pct_under_investigation,
+  {_share_where(f"last_outcome = {_NO_SUSPECT}")} as pct_no_suspect,
+  {_share_where(f"last_outcome not in ('Under investigation', 'No outcome recorded', {_NO_SUSPECT})")}
+    as pct_resolved
 from staged group by force, year, month
 """
 
@@ -107,7 +113,13 @@ select falls_within, month, trim(crime_type) as crime_type, last_outcome
 from raw where crime_type is not null and month is not null
 """
 
-_PARTS["shares"] = """
+# The same with a gap: of one force no month of May has arrived, and rows without a month are there.
+_PARTS["gapped_rows"] = """
+select falls_within, month, trim(crime_type) as crime_type, last_outcome
+from raw where crime_type is not null and not coalesce(falls_within = 'ASIA Police' and month like '%-05', false)
+"""
+
+_SHARES = """
 select *, share + case when rank = 1 then 100 - sum(share) over (partition by falls_within, month)
   else 0 end as pct
 from (
@@ -115,12 +127,13 @@ from (
     row_number() over (partition by falls_within, month order by incidents desc, crime_type) as rank
   from (
     select *, sum(incidents) over (partition by falls_within, month)::bigint as total
-    from (select falls_within, month, crime_type, count(*) as incidents from report_rows group by all)
+    from (select falls_within, month, crime_type, count(*) as incidents from {rows}
+      where falls_within is not null and month is not null group by all)
   )
 )
 """
 
-_PARTS["features"] = """
+_FEATURES = """
 select *, case when absolute > 0 then 'increase' when absolute < 0 then 'decrease'
     when absolute = 0 then 'no change' end as direction,
   round_even(abs(absolute)::double / previous_total * 100, 1) as pct
@@ -128,7 +141,9 @@ from (
   select *, total_crimes - previous_total as absolute
   from (
     select force, period, total_crimes, top_three, distribution, top_json, share_json, share_lines,
-      lag(total_crimes) over (partition by force order by period) as previous_total
+      case when lag(period) over (partition by force order by period)
+          = strftime((period || '-01')::date - interval 1 month, '%Y-%m')
+        then lag(total_crimes) over (partition by force order by period) end as previous_total
     from (
       select falls_within as force, month as period, sum(incidents)::bigint as total_crimes,
         string_agg(crime_type, '|' order by rank) filter (where rank <= 3) as top_three,
@@ -137,24 +152,28 @@ from (
         string_agg('"' || crime_type || '":' || pct::varchar, ',' order by rank) as share_json,
         string_agg('  - ' || crime_type || ': ' || pct::varchar || '%', chr(10) order by rank)
           as share_lines
-      from shares group by falls_within, month
+      from {shares} group by falls_within, month
     )
   )
 )
 """
 
+for _rows, _shares, _features in (("report_rows", "shares", "features"), ("gapped_rows", "gapped_shares", "gapped_features")):
+    _PARTS[_shares] = _SHARES.replace("{rows}", _rows)
+    _PARTS[_features] = _FEATURES.replace("{shares}", _shares)
+
 _SIGNED = "case when absolute > 0 then '+' else '' end || format('{:,}', absolute)"
 _PCT = "pct::decimal(30,1)::varchar || '%'"
 
 _PARTS["prompts"] = f"""
-select *, 'Summarise these recorded crime figures and nothing else.' || chr(10) || chr(10)
-  || 'Force area: ' || force || chr(10) || 'Reporting period: ' || period || chr(10)
-  || 'Total crimes: ' || format('{{:,}}', total_crimes)
-  || case when absolute is null then '' else chr(10) || 'Month-on-month change: ' || direction
+select *, 'Write the note from these figures alone.' || chr(10) || chr(10)
+  || 'Police force: ' || force || chr(10) || 'Month: ' || period || chr(10)
+  || 'Recorded in all: ' || format('{{:,}}', total_crimes)
+  || case when absolute is null then '' else chr(10) || 'Month-on-month: ' || direction
      || ' of ' || {_PCT} || ' (' || {_SIGNED} || ' on ' || format('{{:,}}', previous_total) || ')' end
-  || chr(10) || chr(10) || 'Share of each crime type:' || chr(10) || share_lines
-  || chr(10) || chr(10) || 'Top three categories: ' || replace(top_three, '|', ', ')
-  || chr(10) || chr(10) || 'Answer in three paragraphs: Overview, Crime Breakdown, Implications.'
+  || chr(10) || chr(10) || 'By crime type:' || chr(10) || share_lines
+  || chr(10) || chr(10) || 'Most frequent: ' || replace(top_three, '|', ', ')
+  || chr(10) || chr(10) || 'Sections: Overview, Crime Breakdown, Implications.'
   as user_text
 from features
 """
@@ -185,6 +204,9 @@ _NEEDS = {
     "shares": ("raw", "report_rows"),
     "features": ("raw", "report_rows", "shares"),
     "prompts": ("raw", "report_rows", "shares", "features"),
+    "gapped_rows": ("raw",),
+    "gapped_shares": ("raw", "gapped_rows"),
+    "gapped_features": ("raw", "gapped_rows", "gapped_shares"),
     "keyed": ("raw",),
     "loaded": ("raw", "keyed"),
     "batch": ("raw", "keyed"),
@@ -347,13 +369,13 @@ def oracle_sql() -> dict[str, str]:
         ),
         "top3_categories": _sql("select force, period, top_three from features", "features"),
         "month_on_month": _sql(
-            "select force, period, total_crimes, previous_total, absolute, pct, direction from features",
-            "features",
+            "select force, period, total_crimes, previous_total, absolute, pct, direction from gapped_features",
+            "gapped_features",
         ),
         "feature_rows": _sql(
             """select force, period, total_crimes, top_three, distribution, previous_total, absolute,
-            pct, direction from features""",
-            "features",
+            pct, direction from gapped_features""",
+            "gapped_features",
         ),
         "whole_table_features": _sql(
             """select

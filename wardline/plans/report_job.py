@@ -60,6 +60,9 @@ def report_prompts(
 ) -> DataFrame:
     """Prompts for every force and period in the files, with change where a period precedes."""
     rows = load_report_rows(spark, paths, encoding)
+    unused = features.left_out(rows).first()
+    if any(unused):
+        log.warning("rows in no report: %d without a force, %d without a month", *unused)
     return narrative.prompts(features.feature_rows(rows), version)
 
 

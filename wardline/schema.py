@@ -50,6 +50,7 @@ CATEGORIES = (
     "Violence and sexual offences",
 )
 
+# Hotspot tiers.
 TIERS = ("High", "Medium", "Low")
 
 # The outcomes with a meaning of their own.
@@ -74,11 +75,12 @@ MIN_FILE_ROWS = 100
 MIN_MONTH_MATCH = 0.9
 
 MONTH_PATTERN = r"^\d{4}-\d{2}$"
+CALENDAR_MONTH = r"^\d{4}-(0[1-9]|1[0-2])$"
 
 # Every file column is read as text; only coordinates are converted, and leniently.
 FILE_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in FILE_COLUMNS])
 
-# Raw table. The last three columns are its partitions: load_id names the batch that wrote a row,
+# Columns of the raw table. The last three columns are its partitions: load_id names the batch that wrote a row,
 # so that repeating a batch replaces its own rows and nothing else.
 RAW_COLUMNS: dict[str, str] = {
     "crime_id": "string",

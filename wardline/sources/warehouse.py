@@ -69,6 +69,10 @@ class Warehouse:
             f"CREATE TABLE IF NOT EXISTS {self._name('raw', 'load_marks')} ({marks.SCHEMA}) "
             "USING parquet"
         )
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self._name('raw', 'load_months')} ({marks.MONTH_SCHEMA}) "
+            "USING parquet"
+        )
 
     # -- raw table and staging --------------------------------------------------------------------
 
@@ -154,9 +158,13 @@ class Warehouse:
         frame = self.spark.table(self._name("marts", name)).select(*marts.MART_COLUMNS[name])
         return marts.ordered(frame, name) if in_order else frame
 
-    def models(self) -> dict[str, DataFrame]:
-        """Staging and marts by the names the column tests use."""
-        return {"staging": self.staged(), **{name: self.mart(name) for name in MART_NAMES}}
+    def models(self, months: list[str] | None = None) -> dict[str, DataFrame]:
+        """Staging and marts by the names the column tests use, of all months or only of some."""
+        frames = {"staging": self.staged(), **{name: self.mart(name) for name in MART_NAMES}}
+        if months is None:
+            return frames
+        # Staging keeps the month as it is, so the filter is one on the raw table's partitions.
+        return {name: frame.where(F.col("month").isin(months)) for name, frame in frames.items()}
 
     def ready(self) -> bool:
         """True only if the month mart can be queried."""
@@ -180,6 +188,29 @@ class Warehouse:
     def mark(self, force: str) -> str | None:
         return marks.mark_of(self.mark_log(), force)
 
+    def month_status(self) -> DataFrame:
+        """(force, month, status) of every month that was ever planned."""
+        return marks.latest_status(self.spark.table(self._name("raw", "load_months")))
+
+    def log_months(self, entries: list[tuple[str, str, str]]) -> None:
+        """Log (force, month, status), as many entries as a run has months."""
+        if entries:
+            frame = self.spark.createDataFrame(entries, "force string, month string, status string")
+            stamped = frame.withColumn("updated_at", F.current_timestamp())
+            stamped.coalesce(1).write.mode("append").insertInto(self._name("raw", "load_months"))
+
+    def advance_marks(self) -> None:
+        """Move each mark to the last month before the first one that is not loaded."""
+        moved = marks.advanced_marks(self.marks(), self.month_status()).collect()  # a row per force
+        if moved:
+            self.set_marks(self.spark.createDataFrame(moved, "force string, month string"))
+
+    def reload_after(self, force: str, month: str) -> None:
+        """Set a mark by hand and forget what is known of later months: they are planned anew."""
+        later = self.month_status().where((F.col("force") == force) & (F.col("month") > month)).collect()
+        self.log_months([(force, row["month"], marks.FORGOTTEN) for row in later])
+        self.set_marks(self.spark.createDataFrame([(force, month)], "force string, month string"))
+
     def set_marks(self, pairs: DataFrame) -> None:
         """Set the mark of each (force, month); the newest setting counts, not the latest month."""
         stamped = pairs.select("force", "month", F.current_timestamp().alias("updated_at"))
