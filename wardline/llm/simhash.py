@@ -97,7 +97,7 @@ def _keyed(prints: DataFrame, masks: dict[int, list[int]]) -> DataFrame:
 
 
 def tree(values: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
-    """Links that connect what is connected among distinct values, one for each value that is reached."""
+    """Links that connect what is connected among distinct unsigned values, one for each value that is reached."""
     out, left = [], values
     while len(left):
         queue, left = [left[0]], left[1:]
@@ -135,13 +135,14 @@ def _starts(mask: np.ndarray, bits: np.ndarray) -> np.ndarray:
 
 
 def _links(starts: np.ndarray, end: int, value: np.ndarray, max_bits: int) -> pa.RecordBatch:
+    value = value.view(np.uint64)  # bits of signed numbers would be counted of their absolute values
     sizes = np.diff(np.concatenate([starts, [end]])) if len(starts) else np.zeros(0, np.int64)
     pairs = starts[sizes == 2]  # by far the most
     a, b = value[pairs], value[pairs + 1] if len(pairs) else value[pairs]
     near = np.bitwise_count(a ^ b) <= max_bits
     more = [link for i in np.flatnonzero(sizes > 2) for link in tree(np.unique(value[starts[i] : starts[i] + sizes[i]]), max_bits)]
-    left = np.concatenate([a[near], np.array([x for x, _ in more], np.int64)])
-    right = np.concatenate([b[near], np.array([y for _, y in more], np.int64)])
+    left = np.concatenate([a[near], np.array([x for x, _ in more], np.uint64)]).view(np.int64)
+    right = np.concatenate([b[near], np.array([y for _, y in more], np.uint64)]).view(np.int64)
     return pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], names=["a", "b"])
 
 
