@@ -1,0 +1,126 @@
+"""Held-out accuracy and edge cases of the two learned models."""
+
+import math
+
+import numpy as np
+import pytest
+
+from tests.llm.conftest import LONG
+from wardline.llm import language_id, quality, queries
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def by_id(spark):
+    return {r["doc_id"]: r["lang"] for r in queries.read(spark, SF, "documents").select("doc_id", "lang").collect()}
+
+
+def test_held_out_languages(spark, by_id):
+    rows = queries.op2_language_id(spark, SF).collect()
+    held = [r for r in rows if r["held_out"]]
+    assert len(rows) == len(by_id) and len(held) > 150
+    assert sum(r["lang_pred"] == by_id[r["doc_id"]] for r in held) >= 0.98 * len(held)
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_held_out_quality(spark):
+    marks = {r["doc_id"]: r["quality"] for r in queries.read(spark, SF, "labels").collect()}
+    rows = queries.op9_quality(spark, SF).collect()
+    held = [r for r in rows if r["held_out"] and r["doc_id"] in marks]
+    assert sum(r["predicted"] == marks[r["doc_id"]] for r in held) >= 0.97 * len(held) > 90
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
+
+
+def model(spark, rows, **limits):
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    return language_id.train(frame, "doc_id", "text", "lang", **limits)
+
+
+def test_known_words_come_first_and_unseen_ones_back_off(spark):
+    taught = model(spark, [(1, "ab ab zz zz", "x"), (2, "ab cd cd qq qq", "y"), (3, None, "x"), (4, "ab", None)])
+    assert taught.languages == ["x", "y"] and "ab" in taught.words
+    own = taught.logs[taught.words["ab"]]
+    assert taught.predict("AB")[0] == "x" and own[0] > own[1]
+    assert taught.predict("zzz")[0] == "x" and taught.predict("qqcd")[0] == "y"
+    assert taught.predict("字")[0] in ("x", "y")  # nothing known of it: still one of the languages
+    for nothing in (None, "", " 12 !? ", "²½"):
+        assert taught.predict(nothing) == ("und", 0.0)
+
+
+def test_blocks_do_not_change_a_prediction(spark, monkeypatch):
+    taught = model(spark, [(1, LONG, "x"), (2, "the river bank", "y")])
+    whole = taught.predict(LONG)
+    monkeypatch.setattr("wardline.llm.language_id.blocks", lambda text: language_id_blocks(text, 100))
+    assert taught.predict(LONG) == whole
+
+
+language_id_blocks = language_id.blocks
+
+
+def test_nothing_to_learn_from(spark, docs, no_docs):
+    empty = language_id.train(no_docs, "doc_id", "text", "lang")
+    assert empty.predict("any text") == ("und", 0.0)
+    found = docs.select(language_id.predict_column(spark, empty, "text").alias("p")).collect()
+    assert len(found) == docs.count() and {r["p"]["lang"] for r in found} == {"und"}
+
+
+def test_model_size_is_bounded(spark):
+    rows = [(i, f"common word{i} word{i}", "x") for i in range(60)]
+    taught = model(spark, rows, max_entries=10)
+    assert len(taught.words) == 10 and len(taught.grams) == 10 and "common" in taught.words
+
+
+def test_language_query_on_awkward_documents(spark, docs, no_docs, store):
+    rows = queries.op2_language_id(spark, store(documents=docs)).collect()
+    assert len(rows) == docs.count() and not any(r["held_out"] is None for r in rows)
+    assert {r["lang_pred"] for r in rows if r["doc_id"] in (4, 5, 6)} == {"und"}
+
+
+def test_fit_finds_single_and_paired_effects():
+    draw = np.random.default_rng(1)
+    x = draw.uniform(size=(4000, len(quality.FEATURES)))
+    y = (((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)) & (x[:, 2] > 0.2)).astype(float)
+    made = quality.fit(x, y)
+    assert (0, 1) in made.pairs
+    assert ((made.scores(x) > 0.5) == (y > 0)).mean() > 0.93
+    # A score is the sum of table entries.
+    k = 17
+    total = made.intercept + sum(t[np.searchsorted(e, x[k, i], side="right")] for i, (e, t) in enumerate(zip(made.edges, made.tables, strict=True)))
+    for (i, j), table in zip(made.pairs, made.pair_tables, strict=True):
+        total += table[np.searchsorted(made.pair_edges[i], x[k, i], side="right"), np.searchsorted(made.pair_edges[j], x[k, j], side="right")]
+    assert made.logits(x)[k] == pytest.approx(total)
+
+
+def test_fit_without_labels_or_with_one_class():
+    width = len(quality.FEATURES)
+    assert quality.fit(np.zeros((0, width)), np.zeros(0)).scores(np.ones((2, width))).tolist() == [0.5, 0.5]
+    assert quality.fit(np.ones((9, width)), np.ones(9)).scores(np.ones((1, width)))[0] == pytest.approx(9.5 / 10)
+
+
+def test_features_of_awkward_texts(monkeypatch):
+    for text in ("", " ", "a", "a a a", LONG):
+        values = quality.features(text)
+        assert len(values) == len(quality.FEATURES) and all(map(math.isfinite, values))
+    lines = "\n".join(f"some line number {k} of it" for k in range(300))
+    whole = quality.features(lines)
+    monkeypatch.setattr(quality, "BLOCK", 50)
+    assert quality.features(lines) == pytest.approx(whole, abs=0.01)
+
+
+def test_quality_query_on_awkward_documents(spark, docs, no_docs, store):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (2, 1, 0), (2, 1, 1), (None, 1, 0), (3, None, 0), (9, 0, None), (77, 1, 1)], "doc_id bigint, quality int, toxic int")
+    rows = queries.op9_quality(spark, store(documents=docs, labels=labels)).collect()
+    assert len(rows) == docs.count() and all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_quality_query_without_labels(spark, docs, store):
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    rows = queries.op9_quality(spark, store(documents=docs, labels=labels)).collect()
+    assert {(r["score"], r["predicted"]) for r in rows} == {(0.5, 1)}
+
+
+def test_queries_over_empty_tables(spark, no_docs, store):
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    folder = store(documents=no_docs, labels=labels)
+    assert queries.op2_language_id(spark, folder).collect() == queries.op9_quality(spark, folder).collect() == []

@@ -321,6 +321,19 @@ BINARY: dict[str, Callable[[Any, Any], Any]] = {
 }
 
 
+def _joined(body: list[Any]) -> tuple:
+    """Neighbouring text as one piece, empty text left out."""
+    out: list[Any] = []
+    for node in body:
+        if isinstance(node, Output) and isinstance(node.value, Literal):
+            if not node.value.value:
+                continue
+            if out and isinstance(out[-1], Output) and isinstance(out[-1].value, Literal):
+                node = Output(Literal(out.pop().value.value + node.value.value))
+        out.append(node)
+    return tuple(out)
+
+
 def as_text(value: Any) -> str:
     return "" if value is None else str(value)
 
@@ -433,14 +446,7 @@ class Template:
         for node in body:
             if isinstance(node, Output):
                 value = self.fold(node.value, assigned)
-                if isinstance(value, Literal):
-                    text = as_text(value.value)
-                    if out and isinstance(out[-1], Output) and isinstance(out[-1].value, Literal):
-                        text = out.pop().value.value + text
-                    if text:
-                        out.append(Output(Literal(text)))
-                else:
-                    out.append(Output(value))
+                out.append(Output(Literal(as_text(value.value)) if isinstance(value, Literal) else value))
             elif isinstance(node, Branch):
                 test = self.fold(node.test, assigned)
                 sides = [self.fold_body(side, assigned) for side in (node.yes, node.no)]
@@ -456,7 +462,7 @@ class Template:
                 out.append(Generation(self.fold_body(node.body, assigned)))
             else:
                 out.append(Assign(node.name, self.fold(node.value, assigned)))
-        return tuple(out)
+        return _joined(out)
 
     # Closures.
 
