@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from tests.conftest import sample_rows, write_csv
 from wardline.operators import incremental
+from wardline.operators.quality import file_verdicts
 from wardline.schema import CATEGORIES, RAW_COLUMNS
-from wardline.sources.incident_files import discover_files, read_files, to_raw
+from wardline.sources.incident_files import MALFORMED, discover_files, read_files, to_raw
 
 
 def load(warehouse, path, force, load_id):
@@ -67,9 +68,8 @@ def _keys(spark, rows):
     return spark.createDataFrame(rows, "crime_id string, month string, force string, note string")
 
 
-@pytest.mark.parametrize("limit", [0, 1 << 20])
-def test_new_rows_are_those_brute_force_finds(spark, limit):
-    """Both ways of joining: repeated keys broadcast, and shuffled with a hot key in the batch."""
+def test_new_rows_are_those_brute_force_finds(spark):
+    """Repeated keys, a hot key in the batch, rows without an ID on both sides."""
     existing = [(f"id{i % 40}", f"2026-0{i % 3 + 1}", "north", "old") for i in range(200)]
     existing += [(None, "2026-01", "north", "old")] * 20
     batch = [(f"id{i}", f"2026-0{i % 4 + 1}", "north", str(i)) for i in range(120)]
@@ -78,18 +78,37 @@ def test_new_rows_are_those_brute_force_finds(spark, limit):
     batch += [(None, "2026-01", "north", "same")] * 50
     seen = {row[:3] for row in existing if row[0] is not None}
     expected = sorted((row for row in batch if row[:3] not in seen), key=str)
-    found = incremental.new_rows(_keys(spark, batch), _keys(spark, existing), broadcast_bytes=limit)
+    found = incremental.new_rows(_keys(spark, batch), _keys(spark, existing))
     assert found.columns == ["crime_id", "month", "force", "note"]
     assert sorted((tuple(r) for r in found.collect()), key=str) == expected
     assert any(r[0] == "hot" for r in expected) and not any(r[0] == "id0" and r[1] == "2026-01" for r in expected)
 
 
+def test_files_of_a_batch_count_in_their_order(spark):
+    rows = [("a", "2026-01", "n", "2"), ("a", "2026-01", "n", "1"), ("a", "2026-01", "n", "1"), ("b", "2026-01", "n", "2"), (None, "2026-01", "n", "1"), (None, "2026-01", "n", "2")]
+    found = sorted((r["crime_id"] or "", r["note"]) for r in incremental.first_files(_keys(spark, rows), "note").collect())
+    assert found == [("", "1"), ("", "2"), ("a", "1"), ("a", "1"), ("b", "2")]
+
+
+def test_only_the_pairs_of_a_batch_are_read(spark, tmp_path):
+    old = _keys(spark, [(f"id{i}", f"2026-{i % 9 + 1:02d}", f"f{i % 3}", "x" * 50) for i in range(900)])
+    old.write.partitionBy("force", "month").parquet(str(tmp_path / "raw"))
+    _keys(spark, [("id0", "2026-01", "f0", "new"), ("z", "2026-01", "f0", "new")]).write.parquet(str(tmp_path / "batch"))
+    batch = spark.read.parquet(str(tmp_path / "batch"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    cut = incremental.of_pairs(raw, incremental.touched_pairs(batch))
+    assert "dynamicpruning" in cut._jdf.queryExecution().optimizedPlan().toString()
+    assert [r["crime_id"] for r in incremental.new_rows(batch, raw).collect()] == ["z"]
+
+
 def test_hot_key_is_split_in_the_shuffled_join(spark):
     """A third of the rows on one key, a third without ID: the join's hot partition is divided."""
     settings = {
         "spark.sql.shuffle.partitions": "16",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     }
     before = spark.conf.get("spark.sql.shuffle.partitions")
     for key, value in settings.items():
@@ -104,7 +123,7 @@ def test_hot_key_is_split_in_the_shuffled_join(spark):
         )
         existing = batch.where("crime_id like '%1'").drop("note")
         expected = batch.where("crime_id is null or crime_id not like '%1'").count()
-        found = incremental.new_rows(batch, existing, broadcast_bytes=0).agg(
+        found = incremental.new_rows(batch, existing).agg(
             F.count("note"), F.max("note")
         )
         assert found.collect()[0][0] == expected
@@ -115,14 +134,6 @@ def test_hot_key_is_split_in_the_shuffled_join(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_fresh_months_are_passed_on_without_a_join(spark):
-    existing = _keys(spark, [("a", "2026-01", "north", "old")])
-    batch = _keys(spark, [("a", "2026-02", "north", "new")])
-    found = incremental.new_rows(batch, existing)
-    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
-    assert found.count() == 1
-
-
 def test_repeats_inside_a_batch_stay_unless_asked(spark):
     batch = _keys(spark, [("a", "2026-01", "n", "2"), ("a", "2026-01", "n", "1"), (None, "2026-01", "n", "3"), (None, "2026-01", "n", "3")])
     empty = batch.limit(0)
@@ -131,10 +142,31 @@ def test_repeats_inside_a_batch_stay_unless_asked(spark):
     assert sorted((r["crime_id"] or "", r["note"]) for r in kept) == [("", "3"), ("", "3"), ("a", "1")]
 
 
-def test_too_many_pairs_are_not_listed(spark):
-    batch = _keys(spark, [("a", f"{2000 + i}-01", "n", "x") for i in range(12)])
-    assert incremental.touched_pairs(batch, limit=5) is None
-    assert len(incremental.touched_pairs(batch, limit=20)) == 12
+def test_awkward_files_are_read_as_they_are(spark, tmp_path):
+    """Latin-1 beside UTF-8, line breaks and quotes in a field, blanks, names with blanks, ragged rows."""
+    place = 'Café  "Ü"\nback door'
+    base = {"Crime ID": "x1", "Month": "2026-02", "Crime type": "Drugs"}
+    for encoding, folder in (("utf-8", "a"), ("iso-8859-1", "b")):
+        write_csv(tmp_path / folder / "2026-02-west-yorkshire-street.csv", [{**base, "Location": place}, {**base, "Location": " lead "}], encoding=encoding)
+    write_csv(tmp_path / "c" / "copy of 2026-02 west-yorkshire 100% + street.csv", [base])
+    ragged = write_csv(tmp_path / "d" / "2026-03-west-yorkshire-street.csv", [base])
+    with open(ragged, "a", newline="") as file:
+        file.write("one field\r\n" + ",".join("x" * 14) + "\r\n")
+    rows = read_files(spark, [str(tmp_path / f) for f in "abcd"])
+    found = {}
+    for row in rows.collect():
+        found.setdefault((row["source_path"].split("/")[-2], row["source_file"]), []).append(row)
+    assert {key: len(value) for key, value in found.items()} == {
+        ("a", "2026-02-west-yorkshire-street.csv"): 2,
+        ("b", "2026-02-west-yorkshire-street.csv"): 2,
+        ("c", "copy of 2026-02 west-yorkshire 100% + street.csv"): 1,
+        ("d", "2026-03-west-yorkshire-street.csv"): 3,
+    }
+    for folder in "ab":
+        own = found[folder, "2026-02-west-yorkshire-street.csv"]
+        assert {r["Location"] for r in own} == {place, " lead "} and all(r[MALFORMED] is None for r in own)
+    verdicts = {r["source_path"].split("/")[-2]: r["malformed"] for r in file_verdicts(rows, 1).collect()}
+    assert verdicts == {"a": 0, "b": 0, "c": 0, "d": 2}
 
 
 def test_quoted_blank_and_doubled_quotes(spark, tmp_path):

@@ -1,11 +1,15 @@
 """The monthly run and the continuous load, end to end on files."""
 
+import os
+import uuid
+
 import pytest
 
 from tests.conftest import sample_rows, write_csv
 from wardline.operators.quality import GateError, Rule
 from wardline.plans.monthly import plan_months, run_monthly
-from wardline.sources.warehouse import MART_NAMES, STAGING_VIEW
+from wardline.sources.landing import read_landed
+from wardline.sources.warehouse import MART_NAMES, STAGING_VIEW, Warehouse
 from wardline.streaming.landing_stream import load_new_files
 
 FORCES = ("west-yorkshire", "greater-manchester")
@@ -139,6 +143,35 @@ def test_stream_takes_each_file_once(warehouse, tmp_path):
     assert first[:-2] == second[:-2] and "None" not in first
 
 
+def test_stream_stores_the_same_rows_for_any_batch_size(spark, tmp_path):
+    rows = sample_rows("2026-01", 2)
+    for k in range(3):
+        path = tmp_path / "inbox" / f"{k} 2026-01-west-yorkshire-street.csv"
+        write_csv(path, rows[: 6 - k])
+        os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))
+    stored = []
+    for size in (1, 1000):
+        house = Warehouse(spark, str(tmp_path / f"tables{size}"), f"s{size}_{uuid.uuid4().hex[:6]}_")
+        house.initialise()
+        load_new_files(house, str(tmp_path / "inbox"), str(tmp_path / f"check{size}"), max_files=size).awaitTermination()
+        stored.append(rows_of(house.raw().drop("_loaded_at", "load_id")))
+    assert stored[0] == stored[1] and len(stored[0]) == 4 + 2 + 1 + 1
+
+
+def test_awkward_file_goes_through_a_run(warehouse, tmp_path):
+    """Latin-1, line breaks in a field, leading blanks, a name with blanks; a ragged file is held back."""
+    rows = [{**row, "Location": ' é "x"\nyard'} for row in sample_rows("2026-01", 40)]
+    write_csv(tmp_path / "inbox" / "new 2026-01 west-yorkshire street.csv", rows, encoding="iso-8859-1")
+    ragged = write_csv(tmp_path / "inbox" / "2026-01-greater-manchester-street.csv", sample_rows("2026-01", 40))
+    with open(ragged, "a", newline="") as file:
+        file.write("short\r\n")
+    done = run(warehouse, tmp_path, "2026-01", "jan")
+    assert done.loaded == [("west-yorkshire", "2026-01")] and "1 malformed rows" in done.held_back["greater-manchester", "2026-01"]
+    assert {r["location"] for r in warehouse.raw().collect()} == {' é "x"\nyard'} and warehouse.raw().count() == 120
+    landed = read_landed(warehouse.spark, str(tmp_path / "landing"), "west-yorkshire", "2026-01")
+    assert {r["Location"] for r in landed.collect()} == {' é "x"\nyard'} and landed.count() == 120
+
+
 def test_same_load_id_keeps_months_it_does_not_write(warehouse, tmp_path):
     """A force fixed after the others were loaded is added under the same name without harm."""
     put(tmp_path, "west-yorkshire", "2026-01")

@@ -2,35 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.schema import ROW_KEY
-from wardline.session import ensure_checkpoint_dir
+from wardline.session import written
 
-# Keys that are sent to every executor stay below this many bytes, else the join is shuffled.
-BROADCAST_BYTES = 32 * 1024 * 1024
-_ROW_OVERHEAD = 64
+PAIR = ("force", "month")
 
-# A batch names at most forces x months pairs. More than this are not worth listing in a filter.
-MAX_PAIRS = 10_000
 
+def touched_pairs(batch: DataFrame) -> DataFrame:
+    """Distinct (force, month) of a batch, as a frame: however many there are, none is listed in a plan."""
+    # The comparison is there for the planner: a side that is filtered is worth pruning partitions by.
+    return batch.select(*PAIR).where((F.col("force") > "") & (F.col("month") > "")).distinct()
 
-def touched_pairs(batch: DataFrame, limit: int = MAX_PAIRS) -> list[tuple[str, str]] | None:
-    """Distinct (force, month) of a batch, or None when there are more than limit."""
-    pairs = batch.select("force", "month").distinct().dropna().take(limit + 1)
-    return None if len(pairs) > limit else [(row["force"], row["month"]) for row in pairs]
 
-
-def in_pairs(pairs: list[tuple[str, str]]) -> Column:
-    """Filter on the partition columns of the raw table, grouped by force."""
-    months: dict[str, list[str]] = {}
-    for force, month in sorted(pairs):
-        months.setdefault(force, []).append(month)
-    condition = F.lit(False)
-    for force, names in months.items():
-        condition = condition | ((F.col("force") == force) & F.col("month").isin(names))
-    return condition
+def of_pairs(frame: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows of the pairs. Force and month are partitions of the raw table, so other folders are not read."""
+    return frame.join(pairs, list(PAIR), "left_semi").select(*frame.columns)
 
 
 def one_per_key(batch: DataFrame) -> DataFrame:
@@ -46,64 +35,46 @@ def one_per_key(batch: DataFrame) -> DataFrame:
 def _gathered(rows: DataFrame) -> DataFrame:
     """Bring rows of one force and month together again after a shuffle by key.
 
-    Rows that come straight from files are together already. The sizes of the parts are known at
-    run time: a large force-month is spread over tasks, small ones share one.
+    The sizes of the parts are known at run time: a large force-month is spread over tasks, small ones share one.
     """
-    return rows.hint("rebalance", "force", "month")
+    return rows.hint("rebalance", *PAIR)
 
 
-def _without(batch: DataFrame, keys: DataFrame) -> DataFrame:
-    # A join on names puts the keys first; restore the order.
-    return batch.join(keys, list(ROW_KEY), "left_anti").select(*batch.columns)
+def first_files(batch: DataFrame, order: str) -> DataFrame:
+    """Rows as they are new if a batch's files are taken one after the other, in the order of a column.
+
+    A row goes if an earlier file of the batch has its key. Repeats inside one file stay, as do rows
+    without an ID. So it makes no difference which files share a batch.
+    """
+    keyed = batch.where(F.col("crime_id").isNotNull())
+    spread = keyed.groupBy(*ROW_KEY).agg(F.min(order).alias("_first"), F.max(order).alias("_last"))
+    spread = spread.where(F.col("_first") < F.col("_last")).drop("_last")
+    marked = batch.join(spread, list(ROW_KEY), "left").where(F.col("_first").isNull() | (F.col(order) == F.col("_first")))
+    return marked.select(*batch.columns)
 
 
 def new_rows(
-    batch: DataFrame,
-    existing: DataFrame,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    dedupe_within_batch: bool = False,
-    pairs: list[tuple[str, str]] | None = None,
+    batch: DataFrame, existing: DataFrame, dedupe_within_batch: bool = False, pairs: DataFrame | None = None
 ) -> DataFrame:
     """Rows of batch whose (crime_id, month, force) is not in existing.
 
     Rows without an ID never match and are always new, as are repeats inside the batch unless
     dedupe_within_batch is set.
 
-    Whole rows are moved only if they must be. First the existing table is cut down to the batch's
-    (force, month) partitions. If those are empty, the batch is passed on as it is. Otherwise keys
-    alone are compared, both sides made distinct before the shuffle, and the repeated keys are
-    written to the checkpoint folder, so that their true size decides the rest: few are broadcast;
-    many are joined by a sort-merge join against unique keys, where adaptive execution can split a
-    hot key of the batch, and rows without an ID stay out of the shuffle.
+    The existing table is cut down to the batch's (force, month) partitions while the query runs. Keys alone
+    are compared, made distinct before the shuffle on both sides. The repeated keys, each once, are written
+    to the shared folder: so the planner knows how many there are, sends few to every task, and for many
+    shuffles both sides anew, where adaptive execution splits a hot key of the batch. Rows without an ID
+    stay out of the join.
 
     pairs are the batch's (force, month), if the caller has them already.
     """
-    if pairs is None:
-        pairs = touched_pairs(batch)
     if dedupe_within_batch:
         batch = one_per_key(batch)
-    if pairs is not None:
-        existing = existing.where(in_pairs(pairs))
     has_id = F.col("crime_id").isNotNull()
-    known = existing.where(has_id).select(*ROW_KEY)
-    if known.isEmpty():
-        return batch
-
-    ensure_checkpoint_dir(batch.sparkSession)
-    keyed = batch.where(has_id)
-    repeats = (
-        keyed.select(*ROW_KEY)
-        .distinct()
-        .join(known.distinct(), list(ROW_KEY), "left_semi")
-        .checkpoint()
-    )
-    size = repeats.agg(
-        F.count(F.lit(1)).alias("keys"),
-        F.coalesce(F.sum(sum(F.octet_length(name) for name in ROW_KEY)), F.lit(0)).alias("bytes"),
-    ).first()
-    if size["keys"] == 0:
-        return batch
-    if size["bytes"] + size["keys"] * _ROW_OVERHEAD <= broadcast_bytes:
-        return _without(batch, F.broadcast(repeats))
-    keyless = batch.where(F.col("crime_id").isNull())
-    return _gathered(_without(keyed, repeats.hint("merge")).unionByName(keyless))
+    known = of_pairs(existing, touched_pairs(batch if pairs is None else pairs)).where(has_id).select(*ROW_KEY)
+    keyed, keyless = batch.where(has_id), batch.where(~has_id)
+    repeats = written(keyed.select(*ROW_KEY).distinct().join(known.distinct(), list(ROW_KEY), "left_semi"), "repeats")
+    # A join on names puts the keys first; restore the order.
+    fresh = keyed.join(repeats, list(ROW_KEY), "left_anti").select(*batch.columns)
+    return _gathered(fresh.unionByName(keyless))

@@ -103,6 +103,15 @@ def row_counts(frame: DataFrame, by: Sequence[str], minimum: int = MIN_FILE_ROWS
     return counted.withColumn("passed", F.col("row_count") >= minimum)
 
 
+def file_verdicts(rows: DataFrame, minimum: int = MIN_FILE_ROWS) -> DataFrame:
+    """(source_path, row_count, passed, dated, malformed) per file: enough rows, how many have a month, how many are
+    malformed."""
+    counted = rows.groupBy("source_path").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("Month").alias("dated"), F.count("_malformed").alias("malformed")
+    )
+    return counted.withColumn("passed", F.col("row_count") >= minimum)
+
+
 def missing_pairs(wanted: DataFrame, loaded: DataFrame) -> DataFrame:
     """(force, month) pairs without a single row in loaded."""
     keys = ["force", "month"]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.months import previous_month
-from wardline.operators.quality import RULES, Rule, missing_pairs, require_rules, row_counts
+from wardline.operators.quality import RULES, Rule, file_verdicts, missing_pairs, require_rules
 from wardline.schema import FORCES, MIN_FILE_ROWS
 from wardline.sources.incident_files import discover_files, force_of, read_files, to_raw
 from wardline.sources.landing import land
@@ -81,20 +81,26 @@ def run_monthly(
         _log(warehouse, run)
         return run
 
-    counted = row_counts(read_files(spark, paths), ["source_file"], min_rows)
-    enough = {row["source_file"] for row in counted.where("passed").collect()}
+    # One row per file. A file without rows has none.
+    counted = {row["source_path"]: row for row in file_verdicts(read_files(spark, paths), min_rows).collect()}
     for row in found:
-        if row["path"] and row["file_name"] not in enough:
+        verdict = counted.get(row["source_path"])
+        if row["path"] and not (verdict and verdict["passed"]):
             run.held_back[row["force"], row["month"]] = f"{row['file_name']}: under {min_rows} rows"
+        elif row["path"] and verdict["malformed"]:
+            run.held_back[row["force"], row["month"]] = f"{row['file_name']}: {verdict['malformed']} malformed rows"
     good = [row for row in found if row["path"] and (row["force"], row["month"]) not in run.held_back]
     if not good:
         _log(warehouse, run)
         return run
 
-    files = spark.createDataFrame(good, "force string, month string, path string, file_name string")
+    files = spark.createDataFrame(
+        good, "force string, month string, path string, source_path string, file_name string"
+    )
     land(files, landing, forces)
     rows = read_files(spark, [row["path"] for row in good])
-    run.load = warehouse.load(to_raw(rows, force_of(F.col("source_file"), forces)), load_id)
+    batch = to_raw(rows, force_of(F.col("source_file"), forces), keep=["source_path"])
+    run.load = warehouse.load(batch, load_id, file_order="source_path")
 
     # A pair needs new rows in this load, and rows in the table.
     attempted = sorted({(row["force"], row["month"]) for row in good})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wardline.operators.narrative import SYSTEM_TEXT
 from wardline.plans.sample import SAMPLE_CATEGORIES
 from wardline.schema import CATEGORIES, FORCES, HOTSPOT_COUNTS
 
@@ -184,12 +185,16 @@ select nullif(trim(crime_id), '') as crime_id, month, trim(force) as force, crim
   loaded_on
 from raw where month is not null
 """
+_PARTS["numbered"] = """
+select distinct force, substr(month, 1, 4)::int * 12 + substr(month, 6, 2)::int as n from keyed
+"""
 _PARTS["loaded"] = "select * from keyed where month <= '1999-06'"
 _PARTS["batch"] = "select * from keyed where month >= '1999-01'"
 _PARTS["marks"] = """
 select force, month, updated_at from (
   select *, row_number() over (partition by force order by updated_at desc, month desc) as n
-  from (select force, month, max(loaded_on) as updated_at from loaded group by force, month)
+  from (select force, month, max(loaded_on) as updated_at from keyed
+    where month <= greatest((1994 + length(force) % 7)::varchar || '-12', '1996-06') group by force, month)
 ) where n = 1
 """
 
@@ -208,9 +213,10 @@ _NEEDS = {
     "gapped_shares": ("raw", "gapped_rows"),
     "gapped_features": ("raw", "gapped_rows", "gapped_shares"),
     "keyed": ("raw",),
+    "numbered": ("raw", "keyed"),
     "loaded": ("raw", "keyed"),
     "batch": ("raw", "keyed"),
-    "marks": ("raw", "keyed", "loaded"),
+    "marks": ("raw", "keyed"),
 }
 
 
@@ -434,9 +440,39 @@ def oracle_sql() -> dict[str, str]:
         ),
         "incremental_reload_null_ids": _sql(
             """select month, count(*) + count(*) filter (where crime_id is null) as row_count,
-              count(crime_id) as keyed_rows from batch group by month""",
-            "batch",
+              count(crime_id) as keyed_rows from keyed group by month""",
+            "keyed",
+        ),
+        "load_counts": _sql(
+            """select force, month, count(*) as inserted, count(*) filter (where crime_id is null) as keyless
+            from keyed group by force, month""",
+            "keyed",
+        ),
+        "marks_after_gates": _sql(
+            """select force, printf('%04d-%02d', (gap - 2) // 12, (gap - 2) % 12 + 1) as month
+            from (
+              select force, low, min(i) as gap
+              from (select force, low, unnest(range(low, high + 2)) as i
+                from (select force, min(n) as low, max(n) as high from numbered group by force)) u
+              where i % (length(force) + 7) = 0
+                or not exists (select 1 from numbered k where k.force = u.force and k.n = i)
+              group by force, low
+            ) where gap > low""",
+            "numbered",
+        ),
+        "prompt_versions": _sql(
+            " union all ".join(
+                f"select '{version}' as version, force, period, {len(text)}::int as system_length from gapped_features"
+                for version, text in SYSTEM_TEXT.items()
+            ),
+            "gapped_features",
+        ),
+        "rows_left_out": _sql(
+            """select count(*) filter (where falls_within is null) as without_force,
+              count(*) filter (where falls_within is not null and month is null) as without_month from gapped_rows""",
+            "gapped_rows",
         ),
+        "gate_require_rows": _sql("select 'staging' as model, count(*) as row_count from staged", "staged"),
         "latest_watermark": _sql(
             "select force, month, updated_at::timestamp::varchar as updated_at from marks", "marks"
         ),

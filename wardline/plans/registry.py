@@ -18,7 +18,6 @@ from wardline.plans import dashboard
 from wardline.plans.dashboard import Selection
 from wardline.plans.sample import raw_incidents, table
 from wardline.schema import ROW_KEY
-from wardline.session import ensure_checkpoint_dir
 from wardline.sources import marks
 from wardline.sources.landing import list_partitions
 
@@ -270,6 +269,28 @@ def whole_table_features(spark, sf_dir):
     )
 
 
+@query
+def prompt_versions(spark, sf_dir):
+    """Length of the instructions and of the text per prompt version."""
+    rows = features.feature_rows(gapped_rows(spark, sf_dir))
+    found = None
+    for version in narrative.VERSIONS:
+        made = narrative.prompts(rows, version)
+        own = made.select(F.lit(version).alias("version"), "force", "period", F.length("system_text").alias("system_length"))
+        found = own if found is None else found.unionByName(own)
+    return found
+
+
+@query
+def rows_left_out(spark, sf_dir):
+    return features.left_out(gapped_rows(spark, sf_dir))
+
+
+@query
+def gate_require_rows(spark, sf_dir):
+    return quality.require_min_rows(cleaned(spark, sf_dir), "staging", 1000)
+
+
 @query
 def prompt_user_text(spark, sf_dir):
     rows = features.feature_rows(report_rows(spark, sf_dir))
@@ -321,23 +342,16 @@ def _loaded_and_batch(rows):
     return rows.where(F.col("month") <= LOADED_UP_TO), rows.where(F.col("month") >= BATCH_FROM)
 
 
-def _stored(rows):
-    """Rows written once to the checkpoint folder: a load reads its two tables several times."""
-    ensure_checkpoint_dir(rows.sparkSession)
-    return rows.checkpoint()
-
-
 @query
 def incremental_new_rows(spark, sf_dir):
-    loaded, batch = _loaded_and_batch(_stored(_keyed(spark, sf_dir).drop("_loaded_at")))
+    loaded, batch = _loaded_and_batch(_keyed(spark, sf_dir).drop("_loaded_at"))
     return new_rows(batch, loaded)
 
 
 @query
 def incremental_reload_null_ids(spark, sf_dir):
-    """Rows per month after the batch has been loaded twice: only rows without an ID come again."""
-    _, batch = _loaded_and_batch(_keyed(spark, sf_dir).select(*ROW_KEY))
-    batch = _stored(batch)
+    """Rows per month after everything has been loaded twice: only rows without an ID come again."""
+    batch = _keyed(spark, sf_dir).select(*ROW_KEY)
     again = new_rows(batch, batch)
     total = batch.select("month", "crime_id").unionByName(again.select("month", "crime_id"))
     return total.groupBy("month").agg(
@@ -345,9 +359,18 @@ def incremental_reload_null_ids(spark, sf_dir):
     )
 
 
+@query
+def load_counts(spark, sf_dir):
+    """What each load of a month adds, and how many of its rows have no ID."""
+    return _keyed(spark, sf_dir).groupBy("force", "month").agg(
+        F.count(F.lit(1)).alias("inserted"), F.count_if(F.col("crime_id").isNull()).alias("keyless")
+    )
+
+
 def _mark_log(spark, sf_dir):
-    """One mark per force and month, set when the last row of the month was loaded."""
-    loaded, _ = _loaded_and_batch(_keyed(spark, sf_dir))
+    """One mark per force and month, set when the last row of the month was loaded; each force has an end of its own."""
+    end = F.concat((F.lit(1994) + F.length("force") % 7).cast("string"), F.lit("-12"))
+    loaded = _keyed(spark, sf_dir).where(F.col("month") <= F.greatest(end, F.lit("1996-06")))
     return loaded.groupBy("force", "month").agg(F.max("_loaded_at").alias("updated_at"))
 
 
@@ -365,6 +388,16 @@ def pending_months(spark, sf_dir):
     return pending.withColumn("previous", months.previous_month(F.col("month")))
 
 
+@query
+def marks_after_gates(spark, sf_dir):
+    """New mark of each force when every so many months one was held back: the last before the first gap."""
+    pairs = _keyed(spark, sf_dir).groupBy("force", "month").agg(F.count(F.lit(1)).alias("n"))
+    held = months.month_number(F.col("month")) % (F.length("force") + 7) == 0
+    status = pairs.select("force", "month", F.when(held, marks.HELD).otherwise(marks.LOADED).alias("status"))
+    none = status.select("force", "month").limit(0)
+    return marks.advanced_marks(none, status)
+
+
 @query
 def target_month(spark, sf_dir):
     runs = table(spark, sf_dir, "events").select(F.to_date("ts").alias("run_date"))

@@ -27,6 +27,18 @@ ENCODING_NAMES = {
 
 _CSV = {"header": True, "escape": '"', "mode": "PERMISSIVE"}
 
+# Set for a record that has more or fewer fields than the header.
+MALFORMED = "_malformed"
+
+
+def file_name_of(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def plain_name(source_path: Column) -> Column:
+    """File name in the path that Spark's readers give, whose blanks and the like are percent-encoded."""
+    return F.url_decode(F.replace(file_name_of(source_path), F.lit("+"), F.lit("%2B")))
+
 
 def month_of(file_name: Column) -> Column:
     return F.nullif(F.regexp_extract(file_name, r"(\d{4}-\d{2})", 1), F.lit(""))
@@ -44,7 +56,7 @@ def force_of(file_name: Column, forces: Sequence[str] = FORCES) -> Column:
 def discover_files(
     spark: SparkSession, folder: str, forces: Sequence[str] = FORCES
 ) -> DataFrame:
-    """Incident files below a folder: path, file_name, force, month.
+    """Incident files below a folder: path, source_path (the key that rows carry), file_name, force, month.
 
     Where a force and month have an exactly named file, others for them are passed over. Only names
     are looked at; no file is opened.
@@ -54,10 +66,11 @@ def discover_files(
         .option("pathGlobFilter", FILE_GLOB)
         .option("recursiveFileLookup", "true")
         .load(folder)
-        .select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"))
+        .select("path", F.col("_metadata.file_path").alias("source_path"), file_name_of(F.col("path")).alias("file_name"))
     )
     named = listed.select(
         "path",
+        "source_path",
         "file_name",
         force_of(F.col("file_name"), forces).alias("force"),
         month_of(F.col("file_name")).alias("month"),
@@ -67,7 +80,7 @@ def discover_files(
     return (
         named.join(has_exact, ["force", "month"])
         .where(F.col("exact") | ~F.col("has_exact"))
-        .select("path", "file_name", "force", "month")
+        .select("path", "source_path", "file_name", "force", "month")
     )
 
 
@@ -128,22 +141,48 @@ def read_any_encoding(
     return combined
 
 
+def latin_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(source_path) of the files that are not valid UTF-8 throughout; they count as ISO-8859-1."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("source_path"), "value")
+    checked = lines.groupBy("source_path").agg(F.bool_and(F.is_valid_utf8("value")).alias("_utf8"))
+    return checked.where(~F.col("_utf8")).select("source_path")
+
+
 def read_files(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
-    """Standard files in one scan: the twelve columns as text, and source_file.
+    """Standard files: the twelve columns as text, source_path and source_file (its name), and MALFORMED.
 
-    The header of every file must hold the twelve names in their order, else the job stops.
+    The header of every file must hold the twelve names in their order, else the job stops. A quoted field
+    may run over several lines; a file is therefore read by one task. Bytes are taken one to one and
+    then read as UTF-8, except in files that are not UTF-8 throughout. Blanks stay as they are. MALFORMED
+    holds the text of a record with too many or too few fields and is null for all others.
     """
     paths = paths if isinstance(paths, str) else list(paths)
-    return (
+    schema = T.StructType([*FILE_SCHEMA, T.StructField(MALFORMED, T.StringType())])
+    rows = (
         spark.read.options(**_CSV)
+        .option("multiLine", True)
+        .option("encoding", LATIN1)
         .option("enforceSchema", False)
-        .schema(FILE_SCHEMA)
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        .option("columnPruning", False)  # a reader that skips fields does not notice that some are missing
+        .schema(schema)
         .csv(paths)
-        .select("*", F.col("_metadata.file_name").alias("source_file"))
+        .select("*", F.col("_metadata.file_path").alias("source_path"))
     )
+    latin = latin_files(spark, paths).withColumn("_latin", F.lit(True))
+    marked = rows.join(latin, "source_path", "left")
+
+    def text(name: str) -> Column:
+        column = F.col(f"`{name}`")
+        # Only what is not plain ASCII differs between the two.
+        other = F.col("_latin").isNull() & column.rlike(r"[^\x00-\x7F]")
+        return F.when(other, F.decode(F.encode(column, LATIN1), UTF8)).otherwise(column).alias(name)
+
+    columns = [text(name) for name in (*FILE_COLUMNS, MALFORMED)]
+    return marked.select(*columns, "source_path", plain_name(F.col("source_path")).alias("source_file"))
 
 
-def to_raw(rows: DataFrame, force: str | Column | None = None) -> DataFrame:
+def to_raw(rows: DataFrame, force: str | Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Rename file columns, convert coordinates leniently, set the force and the load time.
 
     Without a force argument, the force is taken from each row's source file name.
@@ -156,4 +195,4 @@ def to_raw(rows: DataFrame, force: str | Column | None = None) -> DataFrame:
         (F.col(f"`{source}`").try_cast("double") if name in COORDINATES else F.col(f"`{source}`")).alias(name)
         for source, name in FILE_COLUMNS.items()
     ]
-    return rows.select(*columns, force.alias("force"), F.current_timestamp().alias("_loaded_at"))
+    return rows.select(*columns, force.alias("force"), F.current_timestamp().alias("_loaded_at"), *keep)

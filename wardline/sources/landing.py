@@ -16,6 +16,8 @@ from wardline.schema import FILE_COLUMNS, FILE_SCHEMA, FORCES
 from wardline.sources.incident_files import force_of, month_of, read_files
 
 PARTITIONS = ("part_year", "part_month", "force", "source_file")
+# A landed file holds the fields as they came, blanks and line breaks included, in UTF-8.
+_EXACT = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 _LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary, "
 _PARTITION_SCHEMA = ", ".join(f"{name} string" for name in PARTITIONS)
 
@@ -76,8 +78,7 @@ def land(files: DataFrame, root: str, forces: Sequence[str] = FORCES) -> int:
         )
         .write.mode("append")
         .partitionBy(*PARTITIONS)
-        .option("header", True)
-        .option("escape", '"')
+        .options(**_EXACT)
         .csv(root)
     )
     return len(paths)
@@ -89,7 +90,7 @@ def read_landed(
     """Rows of the store, or of one force and month: the other folders are not read."""
     # Partition columns are in the schema as text, so that '02' stays '02'.
     schema = f"{FILE_SCHEMA.toDDL()}, {_PARTITION_SCHEMA}"
-    rows = spark.read.schema(schema).option("header", True).option("escape", '"').csv(root)
+    rows = spark.read.schema(schema).options(**_EXACT, multiLine=True).csv(root)
     if month is not None:
         year, number = month.split("-")
         rows = rows.where((F.col("part_year") == year) & (F.col("part_month") == number))

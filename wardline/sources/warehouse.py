@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from wardline.operators import marts
 from wardline.operators.cube import incident_cube
-from wardline.operators.incremental import in_pairs, new_rows, touched_pairs
+from wardline.operators.incremental import PAIR, first_files, new_rows, of_pairs, touched_pairs
 from wardline.operators.staging import clean, stage
 from wardline.schema import RAW_COLUMNS, RAW_PARTITIONS
+from wardline.session import written
 from wardline.sources import marks
 
 STAGING_VIEW = "staged_incidents"
@@ -86,16 +87,23 @@ class Warehouse:
         """Staging stays a view: nothing is stored, filters reach the raw table."""
         self.staged().createOrReplaceTempView(STAGING_VIEW)
 
-    def load(self, batch: DataFrame, load_id: str, dedupe_within_batch: bool = False) -> Load:
+    def load(
+        self, batch: DataFrame, load_id: str, dedupe_within_batch: bool = False, file_order: str | None = None
+    ) -> Load:
         """Append the rows of a batch that are new.
 
+        With file_order, a column that orders the files a batch consists of, the result is the same as if
+        they had been loaded one by one in that order.
+
         A force-month written under a load_id belongs to that batch. Repeated after a failure, the
         batch replaces what it wrote before, so no row is lost or doubled, and it is compared with
         the rows of other batches only. A load_id must not be used for another batch.
         """
         others = self.raw().where(F.col("load_id") != load_id)
-        pairs = touched_pairs(batch)
-        fresh = new_rows(batch, others, dedupe_within_batch=dedupe_within_batch, pairs=pairs)
+        if file_order is not None:
+            batch = first_files(batch, file_order)
+        pairs = written(batch.select(*PAIR).distinct(), "pairs")
+        fresh = new_rows(batch, others, dedupe_within_batch, pairs)
         stored = [name for name in RAW_COLUMNS if name not in RAW_PARTITIONS]
         loose = [name for name in RAW_PARTITIONS if name != "load_id"]
         rows = fresh.select(*stored, F.lit(load_id).alias("load_id"), *loose)
@@ -103,11 +111,9 @@ class Warehouse:
         with _replacing_partitions(rows.sparkSession):
             rows.write.mode("overwrite").insertInto(self._name("raw", "incidents"))
         # Counted from what was written: one column of the force-months this batch touched.
-        written = self.loaded(load_id)
-        if pairs is not None:
-            unnamed = F.col("force").isNull() | F.col("month").isNull()
-            written = written.where(in_pairs(pairs) | unnamed)
-        counts = written.agg(
+        stored_now = self.loaded(load_id).select("crime_id", *PAIR)
+        unnamed = stored_now.where(F.col("force").isNull() | F.col("month").isNull())
+        counts = of_pairs(stored_now, touched_pairs(pairs)).unionByName(unnamed).agg(
             F.count(F.lit(1)).alias("inserted"),
             F.count_if(F.col("crime_id").isNull()).alias("keyless"),
         )

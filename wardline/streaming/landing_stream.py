@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wardline.schema import FILE_SCHEMA, FORCES
-from wardline.sources.incident_files import FILE_GLOB, force_of, to_raw
+from wardline.sources.incident_files import FILE_GLOB, force_of, plain_name, to_raw
 from wardline.sources.warehouse import Warehouse
 
 
@@ -21,23 +21,31 @@ def load_new_files(
 ) -> StreamingQuery:
     """Start loading every file not loaded before, and end when there are no more.
 
-    The checkpoint remembers files and the query's id. A batch that is repeated after a failure has
+    How many files share a batch makes no difference: inside one, the keys of an older file count as present
+    for the newer ones. The checkpoint remembers files and the query's id. A batch that is repeated after a failure has
     the id and number it had before, hence the same load_id, and replaces what it had written.
     """
 
     def append(batch: DataFrame, number: int) -> None:
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        warehouse.load(to_raw(batch, F.col("force")), f"{name}-{query_id}-{number}")
+        rows = to_raw(batch, F.col("force"), keep=["_file"])
+        warehouse.load(rows, f"{name}-{query_id}-{number}", file_order="_file")
 
     files = (
         warehouse.spark.readStream.schema(FILE_SCHEMA)
         .option("header", True)
         .option("escape", '"')
         .option("enforceSchema", False)
+        .option("multiLine", True)
         .option("pathGlobFilter", FILE_GLOB)
         .option("maxFilesPerTrigger", max_files)
         .csv(folder)
-        .select("*", force_of(F.col("_metadata.file_name"), forces).alias("force"))
+        .select(
+            "*",
+            force_of(plain_name(F.col("_metadata.file_path")), forces).alias("force"),
+            # Oldest first, as the source takes them.
+            F.struct("_metadata.file_modification_time", "_metadata.file_path").alias("_file"),
+        )
     )
     return (
         files.writeStream.queryName(name)
