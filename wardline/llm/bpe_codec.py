@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 # Code points scanned at once. Longer texts go through in pieces that carry the scanner's state.
 BLOCK = 1 << 18
 # Slices whose ids a worker keeps; beyond that it forgets them and starts anew.
-CACHED_SLICES = 400_000
+CACHED_SLICES = 200_000
 # Bytes up to which a slice is merged by looking at all its pairs again; longer ones need a heap.
 SHORT = 40
 NO_RANK = 1 << 40
@@ -294,32 +294,42 @@ class BpeUdfs:
         shared = spark.sparkContext.broadcast(data)
         digest = hashlib.sha256(data).hexdigest()
 
+        def lists(begin: np.ndarray, values: np.ndarray) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(values))
+
+        # A few texts at a time go back as they are done, so a worker never holds the ids of a whole batch.
         @F.arrow_udf("struct<ids:array<int>,offsets:array<int>>")
         def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             codec = _codec(digest, shared.value)
-            for batch in batches:
-                parts = []
-                for texts in groups(batch):
-                    ids, begin = codec.encode(texts)
-                    edges = pa.array(begin.astype(np.int32))
-                    lists = [pa.ListArray.from_arrays(edges, pa.array(x)) for x in (ids, codec.offsets(ids, begin))]
-                    parts.append(pa.StructArray.from_arrays(lists, names=["ids", "offsets"]))
-                yield pa.concat_arrays(parts) if parts else pa.array([], encode_type)
+            for texts in (texts for batch in batches for texts in groups(batch)):
+                found, begin = codec.encode(texts)
+                both = [lists(begin, found), lists(begin, codec.offsets(found, begin))]
+                yield pa.StructArray.from_arrays(both, names=["ids", "offsets"])
+
+        @F.arrow_udf("array<int>")
+        def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            codec = _codec(digest, shared.value)
+            for texts in (texts for batch in batches for texts in groups(batch)):
+                found, begin = codec.encode(texts)
+                yield lists(begin, found)
 
         @F.arrow_udf("binary")
         def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             codec = _codec(digest, shared.value)
             for batch in batches:
-                yield pa.concat_arrays([_decoded(codec, batch[k : k + 64]) for k in range(0, len(batch), 64)] or [pa.array([], pa.binary())])
+                for k in range(0, len(batch), 64):
+                    yield _decoded(codec, batch[k : k + 64])
 
-        ints = pa.list_(pa.int32())
-        encode_type = pa.struct([("ids", ints), ("offsets", ints)])
-        self._encode, self._decode = encode, decode
+        self._encode, self._ids, self._decode = encode, ids, decode
 
     def encode(self, text: Column | str) -> Column:
         """Struct of ids and offsets (each token's first byte within the text)."""
         return self._encode(F.coalesce(text if isinstance(text, Column) else F.col(text), F.lit("")))
 
+    def ids(self, text: Column | str) -> Column:
+        """The ids alone, where offsets are not needed."""
+        return self._ids(F.coalesce(text if isinstance(text, Column) else F.col(text), F.lit("")))
+
     def decode(self, ids: Column | str) -> Column:
         """The bytes the ids stand for; null for null."""
         return self._decode(ids if isinstance(ids, Column) else F.col(ids))

@@ -96,7 +96,7 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_digests(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Encode every text, decode the ids, and give digests of both."""
     codec = BpeUdfs(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = docs.select("doc_id", codec.encode("text").getField("ids").alias("ids"))
+    encoded = docs.select("doc_id", codec.ids("text").alias("ids"))
     decoded = encoded.select("doc_id", "ids", codec.decode("ids").alias("decoded"))
     return decoded.select(
         "doc_id",
