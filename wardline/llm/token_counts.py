@@ -26,7 +26,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Entries of a worker's memory of token pairs and of words; when full it is emptied.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 # Code points handled at once; longer texts are cut before white space that follows a non-space.
 BLOCK = 1 << 20
 
@@ -64,7 +64,7 @@ class PrefixCounter:
             symbols = self._symbols(token.removesuffix(END), token.endswith(END)) if token != END else []
             if symbols and self._merged(symbols) == [token]:
                 (self.closed if token.endswith(END) else self.open).add(token.removesuffix(END))
-        self.longest = max(map(len, self.open | self.closed))
+        self.reach_open, self.reach_closed = _reach(self.open), _reach(self.closed)
         special = [t["content"] for t in model["added_tokens"]]
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.pairs: dict[tuple[str, str], bool] = {}
@@ -117,10 +117,11 @@ class PrefixCounter:
     def _states(self, word: str) -> list[tuple[int, str]]:
         """(tokens, last token) of each prefix of a word's letters, the word going on after it."""
         states = [(0, "")]
+        tokens, reach = self.open, self.reach_open
         for stop in range(1, len(word) + 1):
-            for start in range(max(0, stop - self.longest), stop):
+            for start in range(max(0, stop - reach.get(word[max(0, stop - 2) : stop], 1)), stop):
                 token = word[start:stop]
-                if token in self.open:
+                if token in tokens:
                     count, last = states[start]
                     if start == 0 or self._may_follow(last, token):
                         states.append((count + 1, token))
@@ -129,7 +130,7 @@ class PrefixCounter:
 
     def _closed(self, word: str, states: list[tuple[int, str]], stop: int) -> int:
         """Tokens of word[:stop] taken as a whole word."""
-        for start in range(max(0, stop - self.longest), stop):
+        for start in range(max(0, stop - self.reach_closed.get(word[max(0, stop - 2) : stop], 1)), stop):
             token = word[start:stop]
             if token in self.closed and (start == 0 or self._may_follow(states[start][1], token + END)):
                 return states[start][0] + 1
@@ -237,6 +238,14 @@ class PrefixCounter:
         return np.array(counts, dtype=np.int32)
 
 
+def _reach(tokens: set[str]) -> dict[str, int]:
+    """Length of the longest token that ends in two given letters."""
+    out: dict[str, int] = {}
+    for token in tokens:
+        out[token[-2:]] = max(len(token), out.get(token[-2:], 1))
+    return out
+
+
 class Words(dict):
     """Tokens of what stands between white space."""
 
