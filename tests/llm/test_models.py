@@ -66,7 +66,8 @@ def test_nothing_to_learn_from(spark, docs, no_docs):
 
 
 def test_model_size_is_bounded(spark):
-    rows = [(i, f"common word{i} word{i}", "x") for i in range(60)]
+    own = [f"q{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
+    rows = [(i, f"common {word} {word}", "x") for i, word in enumerate(own)]
     taught = model(spark, rows, max_entries=10)
     assert len(taught.words) == 10 and len(taught.grams) == 10 and "common" in taught.words
 
