@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 # Code points scanned at once. Longer texts go through in pieces that carry the scanner's state.
 BLOCK = 1 << 18
 # Slices whose ids a worker keeps; beyond that it forgets them and starts anew.
-CACHED_SLICES = 200_000
+CACHED_SLICES = 100_000
 # Bytes up to which a slice is merged by looking at all its pairs again; longer ones need a heap.
 SHORT = 40
 NO_RANK = 1 << 40

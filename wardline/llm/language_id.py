@@ -33,7 +33,7 @@ MAX_GRAM = 5
 # Words after which more of them no longer make a prediction more certain.
 CERTAIN_AFTER = 12
 # Unseen words whose cover a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 50_000
 # Code points of a text looked at once.
 BLOCK = 1 << 20
 
