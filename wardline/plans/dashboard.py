@@ -47,19 +47,15 @@ def _pick(mart: DataFrame, **choices: Sequence | None) -> DataFrame:
     return mart
 
 
-def filter_domains(by_month: DataFrame, by_category: DataFrame) -> DataFrame:
-    """Values to choose from, one row each."""
-
-    def domain(mart: DataFrame, column: str) -> DataFrame:
-        values = mart.select(F.col(column).cast("string").alias("value")).distinct()
-        return values.select(F.lit(column).alias("filter"), "value")
-
-    return (
-        domain(by_month, "force")
-        .unionByName(domain(by_month, "year"))
-        .unionByName(domain(by_category, "crime_type"))
-        .orderBy("filter", "value")
+def filter_domains(by_category: DataFrame) -> DataFrame:
+    """Values to choose from, one row each, in one pass over the category mart."""
+    names = ("force", "year", "crime_type")
+    text = by_category.select(*[F.col(name).cast("string").alias(name) for name in names])
+    found = text.groupingSets([[name] for name in names], *names).agg(
+        *[F.grouping(name).alias(f"_{name}") for name in names]
     )
+    chosen = F.coalesce(*[F.when(F.col(f"_{name}") == 0, F.lit(name)) for name in names])
+    return found.select(chosen.alias("filter"), F.coalesce(*names).alias("value")).orderBy("filter", "value")
 
 
 def kpis(

@@ -147,8 +147,7 @@ def kpi_row(spark, sf_dir):
 
 @query
 def filter_domains(spark, sf_dir):
-    counts = cube(spark, sf_dir)
-    return dashboard.filter_domains(marts.by_month(counts), marts.by_category(counts))
+    return dashboard.filter_domains(marts.by_category(cube(spark, sf_dir)))
 
 
 @query
