@@ -39,6 +39,18 @@ def shared_dir(spark: SparkSession) -> str:
     return os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_checkpoints")
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, whatever their working folder.
+
+    On a cluster the package is installed or shipped (--py-files); a path that is not there does no harm.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [path for path in environment.get("PYTHONPATH", "").split(os.pathsep) if path]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Let checkpoint() write to the shared folder, unless the session has set one already."""
     if spark.sparkContext.getCheckpointDir() is None:
