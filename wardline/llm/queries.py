@@ -15,12 +15,13 @@ from wardline.llm.bpe_codec import BpeUdfs
 from wardline.llm.neighbours import with_next
 from wardline.llm.oracle import oracle_sql  # noqa: F401  (the entry points take both from here)
 from wardline.llm.token_counts import CountUdfs
-from wardline.session import written
+from wardline.session import reach_workers, written
 
 TOKEN_LIMIT = 2048
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
