@@ -93,6 +93,14 @@ def test_notices_with_changes_are_found_and_scattered_runs_are_not(spark):
     assert rows[2]["labels"] == rows[3]["labels"] == []
 
 
+def test_sibling_notices_are_told_apart(spark):
+    kinds = ["", "-ShareAlike", "-NonCommercial", "-NoDerivatives", "-NonCommercial-NoDerivatives", "-NonCommercial-ShareAlike"]
+    told = [f"This work is licensed under a Creative Commons Attribution{k} 4.0 International License" for k in kinds]
+    rows = licences(spark, *told, f"{told[0]}. {told[1]}.")
+    assert [rows[k]["labels"] for k in range(7)] == [["cc-by"], ["cc-by-sa"], [], [], [], [], ["cc-by", "cc-by-sa"]]
+    assert [rows[k]["score"] for k in range(7)] == [1.0, 1.0, 0.0, 0.0, 0.0, 0.0, 1.0]
+
+
 def test_licence_query_on_awkward_documents(spark, docs, no_docs, store):
     rows = queries.op10_license_scan(spark, store(documents=docs)).collect()
     assert sorted(map(str, ((r["doc_id"], r["n_words"]) for r in rows))) == sorted(str((i, len(plain_words(t or "")))) for i, t, _ in awkward())

@@ -4,7 +4,8 @@ Every run of k words of a text (k is three, or a shorter phrase's length) is joi
 of the same run in the templates. A hit at word i of the text and word j of a template votes for the diagonal
 i - j. Votes are summed per text, template and diagonal; diagonals of one template that lie near each other
 (words put in or left out) are merged into a span; a span stands if enough distinct runs of the template
-voted for it and its length fits the template's. Phrases are templates of one run, so each diagonal is a place
+voted for it, its length fits the template's, all runs are there that tell the template from its siblings, and
+no better span overlaps it. Phrases are templates of one run, so each diagonal is a place
 where the phrase stands.
 
 Before the join, a broadcast of the templates' word-pair buckets (their number is bounded) drops all but the
@@ -125,8 +126,30 @@ def _votes(docs: DataFrame, id: str, text: str, templates: DataFrame) -> tuple[D
     return whole, written(votes, "votes")
 
 
-def _spans(votes: DataFrame) -> DataFrame:
-    """(row, label, start, stop, cover): merged and verified spans of notices."""
+def telling_places(notices: list[tuple[str, str]]) -> list[list[int]]:
+    """For each notice the places of its runs that no sibling has: one of another label that shares LEAST_COVER.
+
+    A notice without siblings has none to ask for.
+    """
+    words = [plain_words(text) for text, _ in notices]
+    runs = [[tuple(w[k : k + RUN]) for k in range(len(w) - RUN + 1)] for w in words]
+    out = []
+    for own, (_, label) in zip(runs, notices, strict=True):
+        siblings = [
+            set(other) for other, (_, name) in zip(runs, notices, strict=True)
+            if name != label and sum(r in set(other) for r in own) >= LEAST_COVER * min(len(own), len(other))
+        ]
+        theirs = set().union(*siblings)
+        out.append([k for k, r in enumerate(own) if r not in theirs] if siblings else [])
+    return out
+
+
+def _spans(votes: DataFrame, notices: list[tuple[str, str]], first: int) -> DataFrame:
+    """(row, label, start, stop, cover): merged and verified spans of notices, numbered from first.
+
+    A span holds all runs that tell its notice from siblings. Of spans that overlap, the one that covers most of
+    its notice stays; of equal ones the longer, then the earlier in the list.
+    """
     whole = ("row", "template", "label", "size", "runs")
     order = Window.partitionBy("row", "template").orderBy("start", "diagonal")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
@@ -140,7 +163,25 @@ def _spans(votes: DataFrame) -> DataFrame:
     )
     spans = spans.withColumn("cover", F.size("places") / F.col("runs"))
     fits = (F.col("cover") >= LEAST_COVER) & (F.col("stop") - F.col("start") <= MOST_STRETCH * F.col("size") + NEAR_DIAGONALS)
-    return spans.filter(fits).select("row", "label", "start", "stop", "cover")
+    told = F.lit(True)
+    for number, places in enumerate(telling_places(notices), first):
+        if places:
+            wanted = F.array(*map(F.lit, places))
+            told = told & ((F.col("template") != number) | (F.size(F.array_intersect("places", wanted)) == len(places)))
+    island = Window.partitionBy("row").orderBy("start", "stop", "template")
+    ahead = F.max("stop").over(island.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.filter(fits & told).withColumn("new", F.when(F.col("start") < ahead, 0).otherwise(1))
+    spans = spans.withColumn("island", F.sum("new").over(island.rowsBetween(Window.unboundedPreceding, 0)))
+    span = F.struct((-F.col("cover")).alias("less"), (F.col("start") - F.col("stop")).alias("shorter"), "template", "label", "start", "stop", "cover")
+    sorted_spans = spans.groupBy("row", "island").agg(F.array_sort(F.collect_list(span)).alias("spans"))
+    kept = F.aggregate(
+        "spans",
+        F.slice("spans", 1, 1),
+        lambda best, x: F.when(
+            F.exists(best, lambda b: (b["start"] < x["stop"]) & (x["start"] < b["stop"])), best
+        ).otherwise(F.concat(best, F.array(x))),
+    )
+    return sorted_spans.select("row", F.inline(kept)).select("row", "label", "start", "stop", "cover")
 
 
 def scan(
@@ -156,7 +197,7 @@ def scan(
     """
     whole, votes = _votes(docs, id, text, template_runs(docs.sparkSession, phrases, notices))
     base = votes.filter("phrase").select("row", "label", "start", F.lit(True).alias("phrase"), F.lit(1.0).alias("cover"))
-    more = _spans(votes).select("row", "label", "start", F.lit(False).alias("phrase"), "cover")
+    more = _spans(votes, notices, len(phrases)).select("row", "label", "start", F.lit(False).alias("phrase"), "cover")
     placed = F.when(F.col("phrase"), F.col("start").cast("bigint"))
     found = base.union(more).groupBy("row").agg(
         F.count_if("phrase").alias("n_base"),
