@@ -125,3 +125,11 @@ def test_queries_over_empty_tables(spark, no_docs, store):
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     folder = store(documents=no_docs, labels=labels)
     assert queries.op2_language_id(spark, folder).collect() == queries.op9_quality(spark, folder).collect() == []
+
+
+def test_parts_of_a_text_give_the_numbers_of_the_whole(monkeypatch):
+    text = "One. Two; three... four!? a|b 12% five--\n" * 3 + "six. seven, (eight) [nine] ## ten\u00e9. " * 9 + "\nsix. seven\n" + "x::: y. " * 20
+    whole = quality.features(text)
+    for block in (7, 20, 33, 50):
+        monkeypatch.setattr(quality, "BLOCK", block)
+        assert quality.features(text) == whole

@@ -70,8 +70,10 @@ def features(text: str) -> list[float]:
     words: Counter[str] = Counter()
     lines: Counter[int] = Counter()
     sums = Counter()
+    kinds: set[str] = set()
+    held: list[str] = []  # of a line that goes on in the next part
     last = ""
-    for part in _parts(text):
+    for part, gap in _parts(text):
         found = part.split()
         words.update(found)
         sums["again"] += sum(map(str.__eq__, found, [last, *found[:-1]]))
@@ -80,13 +82,19 @@ def features(text: str) -> list[float]:
         sums["digit"] += len(DIGIT.findall(part)) if any(map(part.__contains__, "0123456789")) or not part.isascii() else 0
         signs = SIGN.findall(part)
         sums["sign"] += sum(map(len, signs))
-        sums["kinds"] = max(sums["kinds"], len(set(signs)))
+        kinds.update(signs)
         sums["inside"] += len(INSIDE.findall(part))
         sums["bar"] += part.count("|")
         sums["bang"] += part.count("!")
-        sums["end"] += part.count(". ") + part.count(".\n")
+        sums["end"] += part.count(". ") + part.count(".\n") + (gap != "" and part.endswith("."))
         sums["ascii"] += len(part.encode("utf-8", "surrogatepass")) - len(part)
-        lines.update(map(hash, part.split("\n")))
+        ended = part.split("\n")
+        goes_on = [ended.pop(), gap] if gap == " " else []
+        if ended:
+            ended[0] = "".join([*held, ended[0]])
+            held = []
+        held += goes_on
+        lines.update(map(hash, ended))
     total = words.total()
     count = max(1, total)
     lengths = sum(len(w) * k for w, k in words.items())
@@ -97,7 +105,7 @@ def features(text: str) -> list[float]:
         sums["upper"] / max(1, n),
         sum(k for w, k in words.items() if len(w) > 1 and w.isupper()) / count,
         sums["digit"] / max(1, n),
-        float(sums["kinds"]),
+        float(len(kinds)),
         sums["sign"] / max(1, n),
         sums["inside"] / count,
         sums["bar"] / count,
@@ -112,17 +120,17 @@ def features(text: str) -> list[float]:
     ]
 
 
-def _parts(text: str) -> Iterator[str]:
-    """A text in parts of BLOCK code points that end at a line's end, or at white space."""
+def _parts(text: str) -> Iterator[tuple[str, str]]:
+    """A text in parts of BLOCK code points that end at a line's end, or at white space, with what follows each."""
     start = 0
     while len(text) - start > BLOCK:
         stop = text.find("\n", start + BLOCK)
         stop = stop if 0 <= stop < start + 2 * BLOCK else text.find(" ", start + BLOCK)
         if stop < 0:
             break
-        yield text[start:stop]
+        yield text[start:stop], text[stop]
         start = stop + 1
-    yield text[start:]
+    yield text[start:], ""
 
 
 def features_column(text: str) -> Column:
