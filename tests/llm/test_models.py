@@ -133,3 +133,19 @@ def test_parts_of_a_text_give_the_numbers_of_the_whole(monkeypatch):
     for block in (7, 20, 33, 50):
         monkeypatch.setattr(quality, "BLOCK", block)
         assert quality.features(text) == whole
+
+
+def test_repeated_rows_reach_the_driver_once(spark, monkeypatch):
+    draw, seen, fit = np.random.default_rng(3), [], quality.fit
+    x = draw.normal(size=(400, len(quality.FEATURES))).round(1)
+    y, times = (x[:, 0] + draw.normal(size=400) > x[:, 1]).astype(float), draw.integers(1, 4, 400)
+    whole = fit(np.repeat(x, times, axis=0), np.repeat(y, times)).logits(x)
+    assert np.allclose(fit(x, y, times.astype(float)).logits(x), whole)
+    monkeypatch.setattr(quality, "fit", lambda *args: seen.append(args) or fit(*args))
+    rows = [(1, [1.0] * x.shape[1])] * 500 + [(1, [float(k)] * x.shape[1]) for k in range(2, 402)] + [(2, [0.0] * x.shape[1])]
+    marks = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, quality int")
+    frame = spark.createDataFrame(rows, "doc_id bigint, features array<double>")
+    quality.train(frame, marks, "doc_id", "quality")
+    assert len(seen[0][1]) == 402 and seen[0][2].sum() == 901
+    quality.train(frame, marks, "doc_id", "quality", sample_rows=50)
+    assert len(seen[1][1]) < 120

@@ -6,8 +6,8 @@ little of it to the feature's lookup table. When the single features are done, t
 what is left get two-way tables in the same manner. A score is the sum of one entry per table through the
 logistic function, so scoring is a bin search and an addition per feature.
 
-Features are computed on Spark for every row. The fit takes at most sample_rows labelled rows (expected; drawn
-by a hash of the id), as feature numbers, never texts.
+Features are computed on Spark for every row. The fit takes at most sample_rows distinct labelled rows
+(expected; drawn by a hash of id and features) with how often each occurs, as feature numbers, never texts.
 
 Defined results: null and empty texts have the features of the empty text and get a score like any other. With
 no labelled rows the score is 0.5 everywhere; with one class only, its smoothed share.
@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardline.session import written
+
 SAMPLE_ROWS = 20_000
 BINS = 32
 PAIR_BINS = 8
@@ -165,9 +167,12 @@ class Additive:
         return 1 / (1 + np.exp(-np.clip(self.logits(x), -30, 30)))
 
 
-def _edges(column: np.ndarray, bins: int) -> np.ndarray:
-    """Cut points between distinct values, at quantiles."""
-    values = np.unique(np.quantile(column, np.linspace(0, 1, bins + 1)[1:-1], method="nearest"))
+def _edges(column: np.ndarray, bins: int, weights: np.ndarray) -> np.ndarray:
+    """Cut points between distinct values, at (nearest) quantiles of the values repeated by their weights."""
+    order = np.argsort(column, kind="stable")
+    upto = np.cumsum(weights[order])
+    places = np.rint(np.linspace(0, 1, bins + 1)[1:-1] * (upto[-1] - 1))
+    values = np.unique(column[order][np.searchsorted(upto, places, side="right")])
     distinct = np.unique(column)
     after = np.searchsorted(distinct, values, side="right")
     values, after = values[after < len(distinct)], after[after < len(distinct)]
@@ -212,13 +217,14 @@ def _tree2(grad: np.ndarray, hess: np.ndarray) -> tuple[np.ndarray, float]:
     return best
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> Additive:
-    """Learn from feature rows x and labels y (0 or 1)."""
+def fit(x: np.ndarray, y: np.ndarray, weights: np.ndarray | None = None) -> Additive:
+    """Learn from feature rows x and labels y (0 or 1), each as often as its (whole) weight says."""
     width = len(FEATURES)
     if not len(y):
         return Additive(0.0, [np.zeros(0)] * width, [np.zeros(1)] * width)
-    share = (y.sum() + 0.5) / (len(y) + 1)
-    edges = [_edges(x[:, k], BINS) for k in range(width)]
+    w = np.ones(len(y)) if weights is None else weights
+    share = ((w * y).sum() + 0.5) / (w.sum() + 1)
+    edges = [_edges(x[:, k], BINS, w) for k in range(width)]
     model = Additive(float(np.log(share / (1 - share))), edges, [np.zeros(len(e) + 1) for e in edges])
     if y.min() == y.max():
         return model
@@ -227,18 +233,18 @@ def fit(x: np.ndarray, y: np.ndarray) -> Additive:
     for _ in range(ROUNDS):
         for k, (own, table) in enumerate(zip(bins, model.tables, strict=True)):
             p = 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
-            grad = np.bincount(own, y - p, minlength=len(table))
-            step = RATE * _tree(grad, np.bincount(own, p * (1 - p), minlength=len(table)))
+            grad = np.bincount(own, w * (y - p), minlength=len(table))
+            step = RATE * _tree(grad, np.bincount(own, w * p * (1 - p), minlength=len(table)))
             table += step
             logits += step[own]
-    model.pair_edges = [_edges(x[:, k], PAIR_BINS) for k in range(width)]
+    model.pair_edges = [_edges(x[:, k], PAIR_BINS, w) for k in range(width)]
     coarse = [np.searchsorted(e, x[:, k], side="right") for k, e in enumerate(model.pair_edges)]
     shapes = [len(e) + 1 for e in model.pair_edges]
 
     def tables(i: int, j: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         p = 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
         cell, size = coarse[i] * shapes[j] + coarse[j], shapes[i] * shapes[j]
-        sums = [np.bincount(cell, w, minlength=size).reshape(shapes[i], shapes[j]) for w in (y - p, p * (1 - p))]
+        sums = [np.bincount(cell, v, minlength=size).reshape(shapes[i], shapes[j]) for v in (w * (y - p), w * p * (1 - p))]
         return cell, *sums
 
     gains = sorted(((-_tree2(*tables(i, j)[1:])[1], i, j) for i, j in combinations(range(width), 2)))
@@ -260,11 +266,11 @@ def train(rows: DataFrame, labels: DataFrame, id: str, label: str, sample_rows:
     """
     marks = labels.select(F.col(id).alias("id"), F.col(label).cast("int").alias("y")).filter("y in (0, 1)").distinct()
     known = rows.select(F.col(id).alias("id"), "features").join(marks, "id")
-    count = marks.count()
-    draw = F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1 << 30)) / (1 << 30)
-    sample = known.filter(draw < min(1.0, sample_rows / max(1, count))).orderBy("id", "y", "features").toArrow()
+    known = written(known.groupBy("id", "y", "features").agg(F.count("*").alias("weight")), "known")
+    draw = F.pmod(F.xxhash64("id", "features", F.lit(9)), F.lit(1 << 30)) / (1 << 30)
+    sample = known.filter(draw < min(1.0, sample_rows / max(1, known.count()))).orderBy("id", "y", "features").toArrow()
     x = np.array(sample["features"].to_pylist(), dtype=float).reshape(sample.num_rows, len(FEATURES))
-    return fit(x, sample["y"].to_numpy().astype(float))
+    return fit(x, sample["y"].to_numpy().astype(float), sample["weight"].to_numpy().astype(float))
 
 
 def score_column(model: Additive, features: str) -> Column:
