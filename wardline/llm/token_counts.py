@@ -4,7 +4,7 @@ A text falls into pieces (words, single digits, runs of signs). Inside a piece,
 prefixes keeps the last token of each: the encoding of a prefix ends in token t exactly if t's bytes end
 there, the prefix before t has a known encoding, and t may stand after that one's last token, that is, merging
 the two of them gives these two again. One of the candidates fits, so counts are exact, and the counts of all
-prefixes come from one pass. A budget or a cut is answered from them; nothing is encoded again.
+prefixes come from one pass. A budget or a cut is answered from them; tally() encodes the word over the limit again.
 
 Prefixes are counted in code points of the normalised text (NFC, lower case); for texts in NFC without
 U+0130 these are the code points of the text itself. Strings of special tokens inside a text count as one
