@@ -176,5 +176,113 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base,
 from docs left join told using (n)"""
 
 
+_SPACED = r"regexp_extract_all(translate(coalesce(text, ''), '" + _UPPER + "', '" + _UPPER.lower() + r"'), '[^\x20\x09-\x0D]+')"
+
+
+def op11() -> str:
+    """Shingles as texts; every pair of distinct sets with a common shingle is counted, components by a closure over the links."""
+    return f"""
+with recursive docs as (select row_number() over () as n, doc_id, {_SPACED} as w from documents),
+sets as (
+  select n, doc_id, case when len(w) = 0 then []::varchar[] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k : k + 4], ' ')))) end as own
+  from docs
+),
+classes as (select min(n) as c, own, len(own) as size from sets where len(own) > 0 group by own),
+parts as (select c, size, unnest(own) as shingle from classes),
+links as (
+  select x.c as a, y.c as b from parts x join parts y on x.shingle = y.shingle and x.c < y.c
+  group by x.c, y.c, x.size, y.size having 100 * count(*) >= 80 * (x.size + y.size - count(*))
+),
+ends as (select a, b from links union all select b, a from links),
+reach(a, b) as (select c, c from classes union select reach.a, ends.b from reach join ends on reach.b = ends.a),
+roots as (select a as c, min(b) as root from reach group by a),
+named as (
+  select s.n, s.doc_id, len(s.own) as size, coalesce(r.root, -s.n) as root
+  from sets s left join classes k on s.own = k.own left join roots r on k.c = r.c
+)
+select doc_id, size::bigint as n_shingles, min(doc_id) over (partition by root) as component_id from named"""
+
+
+def op12() -> str:
+    """Scores of all pairs of an item and a document that share a term."""
+    return f"""
+with docs as (select row_number() over () as n, doc_id, {words("text")} as w from documents),
+items as (select row_number() over () as q, item_id, {words("text")} as w from benchmark),
+counts as (select count(*) filter (where len(w) > 0) as n_docs, sum(len(w))::bigint as n_terms from docs),
+asked as (select q, term, count(*) as times from (select q, unnest(w) as term from items) group by q, term),
+held as (
+  select n, size, term, count(*) as tf from (select n, len(w) as size, unnest(w) as term from docs)
+  where term in (select term from asked) group by n, size, term
+),
+weights as (
+  select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * df + 1)::double))::bigint as weight
+  from (select term, count(*) as df from held group by term), counts
+),
+scores as (
+  select q, n, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * size * n_docs) // n_terms))))::bigint as score
+  from held join asked using (term) join weights using (term), counts group by q, n
+),
+ranked as (
+  select item_id, row_number() over (partition by q order by score desc, doc_id nulls last)::int as rank, doc_id, score
+  from scores join items using (q) join docs using (n) where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 20"""
+
+
+def op13() -> str:
+    """The checksum is spelled out bit by bit over the bytes of each distinct word."""
+    polynomial, full = 3988292384, 4294967295
+    byte = "(('0x' || substr(h, k, 2))::bigint)"
+    return f"""
+with told as (
+  select list(value order by i) as t from (
+    select i, list_reduce([i::bigint, 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda c, b: case when c & 1 = 1 then xor(c >> 1, {polynomial}::bigint) else c >> 1 end) as value
+    from range(256) r(i)
+  )
+),
+docs as (select row_number() over () as n, doc_id, {words("text")} as w from documents),
+own as (select n, word, count(*) as times from (select n, unnest(w) as word from docs) group by n, word),
+target as (select word, count(*) as times from (select unnest({words("text")}) as word from benchmark) group by word),
+vocabulary as (select word, hex(encode(word)) as h from (select word from own union select word from target)),
+buckets as (
+  select word, xor(list_reduce([{full}::bigint] || list_transform(range(1, len(h), 2), lambda k: {byte}),
+    lambda c, b: xor(c >> 8, t[((xor(c, b) & 255) + 1)::bigint])), {full}::bigint) % 10000 as bucket
+  from vocabulary, told
+),
+source_counts as (select bucket, sum(times)::bigint as s from own join buckets using (word) group by bucket),
+target_counts as (select bucket, sum(times)::bigint as t from target join buckets using (word) group by bucket),
+totals as (select (select coalesce(sum(s), 0) from source_counts)::bigint as a, (select coalesce(sum(t), 0) from target_counts)::bigint as b),
+gains as (
+  select bucket, floor(1000 * ln(((coalesce(t, 0) + 1) * (a + 10000))::double / ((s + 1) * (b + 10000))::double))::bigint as gain
+  from source_counts left join target_counts using (bucket), totals
+),
+weights as (
+  select n, sum(times)::bigint as n_features, floor(sum(times * gain)::double / sum(times)::double)::bigint as weight
+  from own join buckets using (word) join gains using (bucket) group by n
+),
+scored as (
+  select n, doc_id, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5::double)
+      / 4294967296::double)))::bigint as score
+  from docs left join weights using (n)
+),
+ranked as (
+  select *, row_number() over (order by score desc, doc_id nulls last) as place, (10 * count(*) over ()) // 100 as drawn
+  from scored where n_features >= 20
+)
+select s.doc_id, s.n_features, s.weight, s.score, case when r.place <= r.drawn then r.place end as rank
+from scored s left join ranked r using (n)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": op1(), "op4_url_filter": op4(), "op6_decontamination": op6(), "op10_license_scan": op10()}
+    return {
+        "op1_chat_format": op1(),
+        "op4_url_filter": op4(),
+        "op6_decontamination": op6(),
+        "op10_license_scan": op10(),
+        "op11_ngram_join": op11(),
+        "op12_lexical_search": op12(),
+        "op13_resampling": op13(),
+    }

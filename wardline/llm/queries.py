@@ -10,7 +10,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import chat_template, decontamination, language_id, license_scan, minhash, quality, simhash, url_filter
+from wardline.llm import (
+    chat_template,
+    decontamination,
+    language_id,
+    lexical_search,
+    license_scan,
+    minhash,
+    ngram_join,
+    quality,
+    resampling,
+    simhash,
+    url_filter,
+)
 from wardline.llm.bpe_codec import BpeUdfs
 from wardline.llm.neighbours import with_next
 from wardline.llm.oracle import oracle_sql  # noqa: F401  (the entry points take both from here)
@@ -185,6 +197,23 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", *labels, "score")
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.near_duplicates(read(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.select(F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    found = lexical_search.rank(docs, "doc_id", "text", items, "item_id", "text")
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    found = resampling.resample(docs, "doc_id", "text", target, "text")
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -197,4 +226,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash": op8_minhash,
         "op9_quality": op9_quality,
         "op10_license_scan": op10_license_scan,
+        "op11_ngram_join": op11_ngram_join,
+        "op12_lexical_search": op12_lexical_search,
+        "op13_resampling": op13_resampling,
     }
