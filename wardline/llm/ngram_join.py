@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.llm.components import components
-from wardline.llm.plain_terms import SPACED, term_parts
+from wardline.llm.plain_terms import SPACED, byte_parts
 from wardline.session import written
 
 WORDS = 5
@@ -43,48 +43,68 @@ HEAVY = 64
 MOST_HEAVY = 1 << 20
 # Rows of a list that are compared with each other at once.
 BLOCK = 2048
-# Rounds that compare with one set of a block, and open pairs a row that call for another.
-ROUNDS = 4
+# Rounds that compare with one set of a block; another is called for by many open pairs a row, and these fewer than before.
+ROUNDS = 5
 MANY = 4
+LESS = 0.7
 # Similarity from which a set takes over another's answers.
 RELATED = Fraction(9, 10)
-# 64-bit words of a bitmap, buckets of digests (a bounded list of which sets are needed), remembered words of a worker.
+# 64-bit words of a bitmap, and buckets of digests (a bounded list of which sets are needed).
 LANES = 16
 BUCKETS = 1 << 20
-REMEMBERED = 300_000
+# Pairs of rows that are tested at once, and bytes of a text that are hashed at once.
 PAIRS = 100_000
+PART = 1 << 20
 
 ODD, MIXED = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-
-
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word)
-        return found
+VALUES = np.random.PCG64(WORDS).random_raw(256)
+POWERS = np.cumprod(np.full(64, 0x5851F42D4C957F2D, np.uint64))
+
+
+def word_hashes(part: bytes) -> np.ndarray:
+    """A hash of each word: its bytes' random values times powers of an odd number, summed and mixed."""
+    raw = np.frombuffer(part, np.uint8)
+    inside = raw != 32
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    at = np.flatnonzero(inside)
+    place = at - np.repeat(starts, sizes)
+    powers = POWERS if sizes.max() <= len(POWERS) else np.cumprod(np.full(sizes.max(), POWERS[0], np.uint64))
+    out = np.add.reduceat(VALUES[raw[at]] * powers[place], np.cumsum(sizes) - sizes)
+    out ^= out >> np.uint64(29)
+    out *= MIXED
+    return out ^ (out >> np.uint64(32))
 
 
 def rolled(hashes: np.ndarray, words: int) -> np.ndarray:
     """A hash of every run of so many words, from the words' hashes."""
     n = len(hashes) - words + 1
-    out = np.full(n, words, np.uint64)
-    for k in range(words):
-        out = out * ODD + hashes[k : k + n]
-        out ^= out >> np.uint64(31)
+    out = hashes[:n] + np.uint64(words)
+    for k in range(1, words):
+        out *= ODD
+        out += hashes[k : k + n]
+    out ^= out >> np.uint64(31)
     out *= MIXED
     return out ^ (out >> np.uint64(32))
 
 
-def shingles(text: str | None, known: WordHashes, words: int = WORDS) -> np.ndarray:
+def _distinct(found: np.ndarray) -> np.ndarray:
+    found.sort()
+    return found[np.concatenate([[True], found[1:] != found[:-1]])] if len(found) else found
+
+
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of the shingles of a whole text."""
     out, before, total = np.zeros(0, np.uint64), np.zeros(0, np.uint64), 0
-    for part in term_parts(text, SPACED):
-        total += len(part)
-        found = np.concatenate([before, np.fromiter(map(known.__getitem__, part), np.uint64, len(part))])
+    for part in byte_parts(text, SPACED, PART):
+        new = word_hashes(part)
+        total += len(new)
+        found = np.concatenate([before, new]) if len(before) else new
         if len(found) >= words:
-            new = np.unique(rolled(found, words))
-            out = np.union1d(out, new) if len(out) else new
+            new = _distinct(rolled(found, words))
+            out = _distinct(np.concatenate([out, new])) if len(out) else new
         before = found[max(0, len(found) - words + 1) :]
     return rolled(before, total) if 0 < total < words else out
 
@@ -119,9 +139,8 @@ def _row_sets(docs: DataFrame, id: str, text: str, words: int, least: Fraction)
     none = np.zeros(0, np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for batch in batches:
-            sets = [shingles(x.as_py(), known, words) for x in batch.column("text")]
+            sets = [shingles(x.as_py(), words) for x in batch.column("text")]
             keys = [prefix(found, none, none, least).view(np.int64) for found in sets]
             columns = [
                 batch.column("id"),
@@ -149,11 +168,11 @@ def _changed(docs: DataFrame, text: str, heavy: tuple[np.ndarray, np.ndarray], w
     shared, none = docs.sparkSession.sparkContext.broadcast(heavy), np.zeros(0, np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, (late, counts) = WordHashes(), shared.value
+        late, counts = shared.value
         for batch in batches:
             digests, keys = [], []
             for x in batch.column("text"):
-                found = shingles(x.as_py(), known, words)
+                found = shingles(x.as_py(), words)
                 first = prefix(found, none, none, least)
                 at = np.minimum(np.searchsorted(late, first), len(late) - 1)
                 if (late[at] == first).any():
@@ -311,11 +330,11 @@ def _sets(docs: DataFrame, text: str, nodes: DataFrame, words: int) -> DataFrame
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, marks = WordHashes(), shared.value
+        marks = shared.value
         for batch in batches:
             rows = []
             for x in batch.column("text"):
-                found = shingles(x.as_py(), known, words)
+                found = shingles(x.as_py(), words)
                 digest = _digest(found)
                 if marks[int.from_bytes(digest[:3], "big") >> 4]:
                     rows.append((digest, len(found), bitmap(found).tobytes(), found.tobytes()))
@@ -433,15 +452,16 @@ def links(docs: DataFrame, text: str, nodes: DataFrame, keyed: DataFrame, words:
     if not total:
         return None
     sets = _sets(docs, text, nodes.join(lists.select("node").distinct(), "node", "left_semi"), words)
-    near = roots = None
+    near = roots = before = None
     for turn in range(ROUNDS):
         rows = _families(lists, near, roots, least)
         if turn:
             left = _block_pairs(rows, least).agg(F.sum("n")).first()[0] or 0
             if not left:
                 return near
-            if left <= MANY * total:
+            if left <= MANY * total or (before and left > before * LESS):
                 break
+            before = left
         sorted_rows = rows.repartition("key", "block").sortWithinPartitions("key", "block", F.xxhash64("node", F.lit(turn)))
         pairs = sorted_rows.mapInArrow(_with_one(least), "a bigint, b bigint").distinct()
         found = _shared(written(_bounded(pairs, sets, least), "pairs"), sets).filter(_is_link(least))

@@ -15,11 +15,17 @@ TERMS = bytes(low if k > 0x7F or chr(low).isalnum() else 32 for k, low in enumer
 SPACED = bytes(32 if 9 <= k <= 13 else low for k, low in enumerate(LOWER))
 
 
-def term_parts(text: str | None, table: bytes = TERMS, size: int = PART) -> Iterator[list[bytes]]:
-    """The terms of a whole text in order, a part at a time; no term is cut. None and empty texts have none."""
+def byte_parts(text: str | None, table: bytes = TERMS, size: int = PART) -> Iterator[bytes]:
+    """A whole text's bytes with spaces between its terms, a part at a time; no term is cut."""
     whole = (text or "").encode("utf-8", "surrogatepass").translate(table)
     start = 0
     while len(whole) - start > size and (end := whole.find(b" ", start + size)) >= 0:
-        yield whole[start:end].split()
+        yield whole[start:end]
         start = end
-    yield (whole[start:] if start else whole).split()
+    yield whole[start:] if start else whole
+
+
+def term_parts(text: str | None, table: bytes = TERMS, size: int = PART) -> Iterator[list[bytes]]:
+    """The terms of a whole text in order, a part at a time. None and empty texts have none."""
+    for part in byte_parts(text, table, size):
+        yield part.split()
