@@ -160,7 +160,7 @@ def _order(pair: tuple[int, object]) -> tuple:
     return (-score, id is None, id) if id is not None else (-score, True)
 
 
-def best(spark: SparkSession, index: DataFrame, queries: list[Query], terms: int, n_docs: int, n_terms: int, k: int = TOP) -> DataFrame:
+def best(spark: SparkSession, index: DataFrame, queries: list[Query], terms: int, n_docs: int, n_terms: int, k: int = TOP, size: int = BLOCK) -> DataFrame:
     """(query, id, score): each partition's k best documents of each query, by number of the query."""
     shared = spark.sparkContext.broadcast(queries)
     kind = index.schema["id"].dataType.simpleString()
@@ -168,7 +168,7 @@ def best(spark: SparkSession, index: DataFrame, queries: list[Query], terms: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tops: list[list[tuple[int, object]]] = [[] for _ in shared.value]
         type_of_id = None
-        for block in _blocks(batches, BLOCK):
+        for block in _blocks(batches, size):
             lists = Lists(block, terms, n_docs, n_terms)
             type_of_id = lists.ids.type
             for number, query in enumerate(shared.value):
@@ -185,12 +185,14 @@ def best(spark: SparkSession, index: DataFrame, queries: list[Query], terms: int
     return index.mapInArrow(run, f"query int, id {kind}, score bigint")
 
 
-def rank(docs: DataFrame, id: str, text: str, items: DataFrame, item: str, item_text: str, k: int = TOP) -> DataFrame:
+def rank(
+    docs: DataFrame, id: str, text: str, items: DataFrame, item: str, item_text: str, k: int = TOP, chars: int = QUERY_CHARS, size: int = BLOCK
+) -> DataFrame:
     """(item, rank, id, score): the k documents that score highest for each row of items."""
     spark = docs.sparkSession
     kinds = [frame.select(F.col(name).alias("x")).schema["x"].dataType.simpleString() for frame, name in ((items, item), (docs, id))]
     out = []
-    for block in query_blocks(items, item, item_text):
+    for block in query_blocks(items, item, item_text, chars):
         vocabulary = {term: at for at, term in enumerate(sorted({term for _, terms in block for term in terms}))}
         index = written(postings(docs, id, text, vocabulary), "postings")
         n_docs, n_terms = index.agg(F.sum((F.col("n") > 0).cast("bigint")), F.sum("n")).first()
@@ -202,7 +204,7 @@ def rank(docs: DataFrame, id: str, text: str, items: DataFrame, item: str, item_
         for name, terms in block:
             own = sorted((df[at], at, n) for term, n in terms.items() if (at := vocabulary[term]) in df)
             queries.append(Query(name, [at for _, at, _ in own], [n * weights[at] for _, at, n in own]))
-        found = best(spark, index, queries, len(vocabulary), n_docs, n_terms, k)
+        found = best(spark, index, queries, len(vocabulary), n_docs, n_terms, k, size)
         order = Window.partitionBy("query").orderBy(F.desc("score"), F.col("id").asc_nulls_last())
         top = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
         names = spark.createDataFrame([(at, query.item) for at, query in enumerate(queries)], f"query int, item {kinds[0]}")

@@ -39,7 +39,7 @@ from wardline.session import written
 WORDS = 5
 LEAST = Fraction(4, 5)
 # Sets under one shingle above which it comes late in the order, and for how many shingles that is remembered.
-HEAVY = 64
+HEAVY = 128
 MOST_HEAVY = 1 << 20
 # Rows of a list that are compared with each other at once.
 BLOCK = 2048
@@ -52,9 +52,10 @@ RELATED = Fraction(9, 10)
 # 64-bit words of a bitmap, and buckets of digests (a bounded list of which sets are needed).
 LANES = 16
 BUCKETS = 1 << 20
-# Pairs of rows that are tested at once, and bytes of a text that are hashed at once.
+# Pairs of rows that are tested at once, bytes of a text that are hashed at once, and digests a task remembers.
 PAIRS = 100_000
 PART = 1 << 20
+SEEN = 50_000
 
 ODD, MIXED = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 VALUES = np.random.PCG64(WORDS).random_raw(256)
@@ -134,24 +135,33 @@ def _digest(found: np.ndarray) -> bytes:
 
 
 def _row_sets(docs: DataFrame, id: str, text: str, words: int, least: Fraction) -> DataFrame:
-    """(id, digest, size, keys) of every row, keys by hash alone."""
+    """(id, mark, digest, size, bits, keys) of every row: a hash of its text, its set's bitmap, and keys by hash alone.
+
+    bits and keys are null for a row whose set came just before in the same task.
+    """
     kind = docs.select(F.col(id).alias("id")).schema["id"].dataType.simpleString()
     none = np.zeros(0, np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
-            sets = [shingles(x.as_py(), words) for x in batch.column("text")]
-            keys = [prefix(found, none, none, least).view(np.int64) for found in sets]
-            columns = [
-                batch.column("id"),
-                pa.array([_digest(found) for found in sets], pa.binary()),
-                pa.array([len(found) for found in sets], pa.int32()),
-                pa.array(keys, pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "digest", "size", "keys"])
+            rows = []
+            for x in batch.column("text"):
+                found = shingles(x.as_py(), words)
+                digest = _digest(found)
+                if digest in seen:
+                    rows.append((digest, len(found), None, None))
+                    continue
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(digest)
+                rows.append((digest, len(found), bitmap(found).tobytes(), prefix(found, none, none, least).view(np.int64)))
+            kinds = (pa.binary(), pa.int32(), pa.binary(), pa.list_(pa.int64()))
+            arrays = [pa.array([row[at] for row in rows], kind) for at, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("mark"), *arrays], names=["id", "mark", "digest", "size", "bits", "keys"])
 
-    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, digest binary, size int, keys array<bigint>")
+    rows = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, f"id {kind}, mark bigint, digest binary, size int, bits binary, keys array<bigint>")
 
 
 def _heavy(keyed: DataFrame, heavy: int) -> tuple[np.ndarray, np.ndarray]:
@@ -196,7 +206,8 @@ def _cut(block: int) -> Callable:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ROW}
+            place = batch.column("place").to_numpy()
+            rows = {"key": batch.column("key").to_numpy(), "node": batch.column("node").to_numpy(), "size": place >> 32, "at": place & 0xFFFFFFFF}
             if held is not None:
                 rows = {n: np.concatenate([held[n], x]) for n, x in rows.items()}
             key = rows["key"]
@@ -322,32 +333,33 @@ def _widest(found: np.ndarray, least: Fraction) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x) for x in found[:, first].astype(np.int64)], names=FOUND)
 
 
-def _sets(docs: DataFrame, text: str, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, size, bits, found) of the nodes' sets. nodes has node and digest."""
-    bucket = F.shiftright(F.conv(F.hex(F.substring("digest", 1, 3)), 16, 10).cast("int"), 4)
-    wanted = np.zeros(BUCKETS, bool)
-    wanted[[row[0] for row in nodes.select(bucket).distinct().collect()]] = True  # at most BUCKETS rows
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+class Sets:
+    """Where whole sets come from: texts are hashed again, but only those whose mark is in a bounded list of buckets."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = shared.value
-        for batch in batches:
-            rows = []
-            for x in batch.column("text"):
-                found = shingles(x.as_py(), words)
-                digest = _digest(found)
-                if marks[int.from_bytes(digest[:3], "big") >> 4]:
-                    rows.append((digest, len(found), bitmap(found).tobytes(), found.tobytes()))
-            kinds = (pa.binary(), pa.int64(), pa.binary(), pa.binary())
-            arrays = [pa.array([row[at] for row in rows], kind) for at, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["digest", "size", "bits", "found"])
+    def __init__(self, docs: DataFrame, text: str, nodes: DataFrame, words: int):
+        self.docs, self.text, self.nodes, self.words = docs, text, nodes, words
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        """(node, found) of the nodes in pairs a and b."""
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = written(self.nodes.join(ends, "node", "left_semi").select("node", "digest", "mark"), "wanted")
+        marks = np.zeros(BUCKETS, bool)
+        marks[[row[0] for row in wanted.select(F.pmod("mark", F.lit(BUCKETS))).distinct().collect()]] = True  # at most BUCKETS
+        shared, words = self.docs.sparkSession.sparkContext.broadcast(marks), self.words
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                chosen = batch.filter(pa.array(shared.value[batch.column("bucket").to_numpy()]))
+                sets = [shingles(x.as_py(), words) for x in chosen.column("text")]
+                arrays = [pa.array([_digest(x) for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["digest", "found"])
 
-    rows = docs.select(F.col(text).alias("text")).mapInArrow(run, "digest binary, size bigint, bits binary, found binary")
-    once = rows.groupBy("digest").agg(*[F.first(n).alias(n) for n in ("size", "bits", "found")])
-    return written(once.join(nodes.select("node", "digest"), "digest").drop("digest"), "sets")
+        texts = self.docs.select(F.pmod(F.xxhash64(self.text), F.lit(BUCKETS)).alias("bucket"), F.col(self.text).alias("text"))
+        sets = texts.mapInArrow(run, "digest binary, found binary").groupBy("digest").agg(F.first("found").alias("found"))
+        return written(sets.join(wanted.select("node", "digest"), "digest").select("node", "found"), "sets")
 
 
-def _shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _shared(pairs: DataFrame, source: Sets) -> DataFrame:
     """pairs with both, the exact number of common shingles, and total, the sizes of a and b together."""
 
     @F.arrow_udf("struct<both:bigint,total:bigint>")
@@ -361,12 +373,13 @@ def _shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 out.append({"both": both, "total": len(one) + len(two)})
             yield pa.array(out, kind)
 
+    sets = source.of(pairs)
     one, two = (sets.select(F.col("node").alias(n), F.col("found").alias(f"{n}_set")) for n in "ab")
     joined = pairs.join(one, "a").join(two, "b").withColumn("x", compared("a_set", "b_set"))
     return joined.select(*pairs.columns, "x.both", "x.total")
 
 
-def _bounded(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
+def _bounded(pairs: DataFrame, maps: DataFrame, least: Fraction) -> DataFrame:
     """The pairs that their bitmaps leave possible."""
 
     @F.arrow_udf("boolean")
@@ -377,9 +390,9 @@ def _bounded(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
             apart = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
             yield pa.array((total - apart) // 2 >= needed(total, least))
 
-    one, two = (sets.select(F.col("node").alias(n), F.col("bits").alias(f"{n}_bits"), F.col("size").alias(f"{n}_size")) for n in "ab")
+    one, two = (maps.select(F.col("node").alias(n), F.col("bits").alias(f"{n}_bits"), F.col("size").alias(f"{n}_size")) for n in "ab")
     joined = pairs.join(one, "a").join(two, "b")
-    return joined.filter(possible(F.col("a_size") + F.col("b_size"), "a_bits", "b_bits")).select("a", "b")
+    return joined.filter(possible((F.col("a_size") + F.col("b_size")).cast("bigint"), "a_bits", "b_bits")).select("a", "b")
 
 
 def _is_link(least: Fraction, both: str = "both", total: str = "total") -> Column:
@@ -432,26 +445,28 @@ def _block_pairs(rows: DataFrame, least: Fraction) -> DataFrame:
     return inside.union(apart)
 
 
-def _dealt(rows: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _dealt(rows: DataFrame, pairs: DataFrame, maps: DataFrame) -> DataFrame:
     """Rows with their bitmaps, once for each pair of blocks that theirs is in, sorted by pairs."""
     one = pairs.select("key", F.col("i").alias("block"), "i", "j")
     two = pairs.filter("i < j").select("key", F.col("j").alias("block"), "i", "j")
-    sent = rows.join(one.union(two), ["key", "block"]).join(sets.select("node", "bits"), "node")
+    sent = rows.join(one.union(two), ["key", "block"]).join(maps.select("node", "bits"), "node")
     return sent.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "size", "at")
 
 
-def links(docs: DataFrame, text: str, nodes: DataFrame, keyed: DataFrame, words: int = WORDS, least: Fraction = LEAST, block: int = BLOCK) -> DataFrame | None:
+def links(nodes: DataFrame, keyed: DataFrame, source: Sets, least: Fraction = LEAST, block: int = BLOCK) -> DataFrame | None:
     """(a, b): links of nodes that connect exactly what all links would; None if no two sets share a list.
 
-    nodes has node and digest, one of each set; keyed has node, size and keys.
+    nodes has node, size and bits, one of each set; keyed has node, size and keys.
     """
-    rows = keyed.select("node", "size", F.posexplode("keys").alias("at", "key")).select(*ROW)
-    dealt = rows.repartition("key").sortWithinPartitions("key", "size", "at")
+    rows = keyed.select("node", "size", F.posexplode("keys").alias("at", "key"))
+    # size and position in one number, which sorts as both
+    rows = rows.select("key", "node", (F.col("size").cast("bigint") * (1 << 32) + F.col("at")).alias("place"))
+    dealt = rows.repartition("key").sortWithinPartitions("key", "place")
     lists = written(dealt.mapInArrow(_cut(block), "key bigint, node bigint, size int, at int, block int"), "lists")
     total = lists.count()
     if not total:
         return None
-    sets = _sets(docs, text, nodes.join(lists.select("node").distinct(), "node", "left_semi"), words)
+    maps = written(nodes.join(lists.select("node").distinct(), "node", "left_semi").select("node", "size", "bits"), "bitmaps")
     near = roots = before = None
     for turn in range(ROUNDS):
         rows = _families(lists, near, roots, least)
@@ -464,44 +479,45 @@ def links(docs: DataFrame, text: str, nodes: DataFrame, keyed: DataFrame, words:
             before = left
         sorted_rows = rows.repartition("key", "block").sortWithinPartitions("key", "block", F.xxhash64("node", F.lit(turn)))
         pairs = sorted_rows.mapInArrow(_with_one(least), "a bigint, b bigint").distinct()
-        found = _shared(written(_bounded(pairs, sets, least), "pairs"), sets).filter(_is_link(least))
+        found = _shared(written(_bounded(pairs, maps, least), "pairs"), source).filter(_is_link(least))
         found = written(found, "near")
         near = found if near is None else near.union(found)
         roots = written(components(near, "a", "b"), "roots")
     rows = _families(lists, near, roots, least)
-    opened = _dealt(rows, _block_pairs(rows, least), sets).mapInArrow(_across(least), ", ".join(f"{n} bigint" for n in FOUND))
+    opened = _dealt(rows, _block_pairs(rows, least), maps).mapInArrow(_across(least), ", ".join(f"{n} bigint" for n in FOUND))
     # over all lists, the pair of relatives that needs the least of their leads' common shingles
     short = F.ceil(F.col("sizes") * least.numerator / (least.numerator + least.denominator)) - F.col("more")
     opened = written(opened.groupBy("a", "b").agg(F.min(short).alias("short")), "open")
-    answers = written(_shared(opened, sets), "answers")
+    answers = written(_shared(opened, source), "answers")
     found = answers.filter(_is_link(least))
     near = near.unionByName(found.select(*near.columns))
     unsure = answers.filter(~_is_link(least) & ((F.col("both") >= F.col("short")))).select("a", "b")
     if unsure.isEmpty():
         return near
     # relatives of those are compared themselves
-    again = _dealt(rows.withColumn("lead", F.col("node")).withColumn("more", F.lit(0).cast("bigint")), _block_pairs(rows, least), sets)
+    again = _dealt(rows.withColumn("lead", F.col("node")).withColumn("more", F.lit(0).cast("bigint")), _block_pairs(rows, least), maps)
     members = again.mapInArrow(_across(least), ", ".join(f"{n} bigint" for n in FOUND)).select("a", "b").distinct()
     leads = rows.select("node", "lead").distinct()
     one, two = (leads.select(F.col("node").alias(n), F.col("lead").alias(f"{n}_lead")) for n in "ab")
     of = members.join(one, "a").join(two, "b")
     of = of.select("a", "b", F.least("a_lead", "b_lead").alias("x"), F.greatest("a_lead", "b_lead").alias("u"))
     wanted = of.join(unsure.select(F.col("a").alias("x"), F.col("b").alias("u")), ["x", "u"], "left_semi").select("a", "b")
-    return near.unionByName(written(_shared(written(wanted, "members"), sets).filter(_is_link(least)), "near"))
+    return near.unionByName(written(_shared(written(wanted, "members"), source).filter(_is_link(least)), "near"))
 
 
 def linked(docs: DataFrame, id: str, text: str, words: int = WORDS, least: Fraction = LEAST, heavy: int = HEAVY, block: int = BLOCK) -> DataFrame:
     """(id, row, node, size, root): every row of docs with the number of its set and of its component's."""
     rows = _row_sets(docs, id, text, words, least).withColumn("row", F.monotonically_increasing_id())
     rows = written(rows, "row_sets")
-    nodes = rows.filter("size > 0").groupBy("digest").agg(F.min("row").alias("node"))
-    nodes = written(nodes, "nodes")
-    keyed = rows.select(F.col("row").alias("node"), "digest", "size", "keys").join(nodes.select("node"), "node", "left_semi")
-    late = _heavy(keyed, heavy)
+    # A set's node is its first row; one that came before in its task is not the first.
+    nodes = written(rows.filter("size > 0 and keys is not null").groupBy("digest").agg(F.min("row").alias("node")), "nodes")
+    keyed = rows.withColumnRenamed("row", "node").join(nodes.select("node"), "node", "left_semi")
+    late = _heavy(rows, heavy)
+    known = keyed.select("node", "size", "keys")
     if len(late[0]):
         changed = _changed(docs, text, late, words, least).join(nodes, "digest").select("node", F.col("keys").alias("again"))
-        keyed = keyed.join(written(changed, "changed"), "node", "left").withColumn("keys", F.coalesce("again", "keys"))
-    near = links(docs, text, nodes, keyed.select("node", "size", "keys"), words, least, block)
+        known = known.join(written(changed, "changed"), "node", "left").select("node", "size", F.coalesce("again", "keys").alias("keys"))
+    near = links(keyed, known, Sets(docs, text, keyed, words), least, block)
     narrow = rows.select("id", "row", "digest", "size").join(nodes, "digest", "left")
     narrow = narrow.withColumn("node", F.when(F.col("size") > 0, F.col("node")).otherwise(F.col("row")))
     if near is None:
