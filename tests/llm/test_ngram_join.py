@@ -66,11 +66,13 @@ def test_bounds_by_bitmaps_and_prefixes_never_lose_a_pair():
     draw = np.random.default_rng(2)
     none = np.zeros(0, np.uint64)
     for _ in range(300):
-        pool = np.unique(draw.integers(0, 2**63, 60, dtype=np.uint64))
+        pool = np.unique(draw.integers(0, 2**63, draw.choice([60, 900]), dtype=np.uint64))
         one, two = (np.sort(draw.choice(pool, draw.integers(1, len(pool)), replace=False)) for _ in range(2))
         both = len(np.intersect1d(one, two))
-        apart = int(np.bitwise_count(ngram_join.bitmap(one) ^ ngram_join.bitmap(two)).sum())
-        assert (len(one) + len(two) - apart) // 2 >= both
+        bits = np.array([ngram_join.bitmap(x).tobytes() for x in (one, two, pool)], object)
+        apart = ngram_join.apart(bits, np.array([0, 0, 2]), np.array([1, 2, 2]))
+        assert (len(one) + len(two) - apart[0]) // 2 >= both
+        assert (len(one) + len(pool) - apart[1]) // 2 >= len(one) and apart[2] == 0
         late = np.sort(draw.choice(pool, 20, replace=False))
         for heavy, counts in ((none, none), (late, draw.integers(3, 9, len(late)))):
             first = [set(ngram_join.prefix(x, heavy, counts).tolist()) for x in (one, two)]

@@ -13,7 +13,7 @@ Answers are derived. First every set of a block is compared with one set of the
 links most of a dense group. A set that is highly similar to the one it was compared with takes over that one's
 answers: the overlap of x with z is known to be within |y - x| of that of y, so one comparison of x and z rules out
 z for all relatives of x, and only where that leaves it open is a relative compared itself. Nothing is compared
-within what is connected already. Before sets move, bitmaps of a fixed size bound how much two of them can share.
+within what is connected already. Before sets move, bitmaps of some four bits a shingle bound how much two of them can share.
 
 Defined results: words are what stands between ASCII white space, only A-Z is lower-cased. A text of fewer words than a shingle
 has one shingle, all of it. A null text, or one without words, has the empty set, which links with nothing, not even
@@ -49,7 +49,7 @@ MANY = 4
 LESS = 0.7
 # Similarity from which a set takes over another's answers.
 RELATED = Fraction(9, 10)
-# 64-bit words of a bitmap, and buckets of digests (a bounded list of which sets are needed).
+# 64-bit words of the shortest bitmap, and buckets of marks (a bounded list of which sets are needed).
 LANES = 16
 BUCKETS = 1 << 20
 # Pairs of rows that are tested at once, bytes of a text that are hashed at once, and digests a task remembers.
@@ -125,11 +125,37 @@ def prefix(found: np.ndarray, heavy: np.ndarray, counts: np.ndarray, least: Frac
 
 
 def bitmap(found: np.ndarray) -> np.ndarray:
-    """Parities of how many shingles fall on each bit: two bitmaps differ in at most as many bits as the sets."""
-    bits = np.bincount((found >> np.uint64(17)).astype(np.int64) % (64 * LANES), minlength=64 * LANES) & 1
+    """Parities of how many shingles fall on each bit: two bitmaps differ in at most as many bits as the sets.
+
+    Its length is a power of two, some four bits a shingle; the exclusive or of its halves is the bitmap of half that length.
+    """
+    size = max(64 * LANES, 1 << (4 * len(found) - 1).bit_length())
+    bits = np.bincount((found >> np.uint64(17)).astype(np.int64) & (size - 1), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").view("<u8")
 
 
+def _lanes(bits: np.ndarray, lanes: int) -> np.ndarray:
+    """Bitmaps of one length (bytes objects) as rows of so many words, folded to that length."""
+    rows = np.frombuffer(b"".join(bits), "<u8").reshape(len(bits), -1, lanes)
+    return np.bitwise_xor.reduce(rows, axis=1)
+
+
+def apart(bits: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """In how many bits the bitmaps of rows p and q differ, at the length of the shorter one."""
+    out = np.zeros(len(p), np.int64)
+    if not len(p):
+        return out
+    sizes = np.fromiter(map(len, bits), np.int64, len(bits)) // 8
+    for one, two in np.unique(np.stack([sizes[p], sizes[q]]), axis=1).T.tolist():
+        at, lanes = np.flatnonzero((sizes[p] == one) & (sizes[q] == two)), min(one, two)
+        for low in range(0, len(at), step := max(1, (1 << 21) // max(one, two))):
+            part = at[low : low + step]
+            (a, i), (b, j) = (np.unique(x[part], return_inverse=True) for x in (p, q))
+            differ = _lanes(bits[a], lanes)[i] ^ _lanes(bits[b], lanes)[j]
+            out[part] = np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def _digest(found: np.ndarray) -> bytes:
     return xxhash.xxh128_digest(found.tobytes())
 
@@ -311,11 +337,8 @@ def _across(least: Fraction) -> Callable:
             for p, q in _to_compare(rows, edges):
                 kept = _possible(rows, p, q, least)
                 p, q = p[kept], q[kept]
-                some, at = np.unique(np.concatenate([p, q]), return_inverse=True)
-                bits = np.frombuffer(b"".join(rows["bits"][some]), "<u8").reshape(-1, LANES)
-                apart = np.bitwise_count(bits[at[: len(p)]] ^ bits[at[len(p) :]]).sum(axis=1, dtype=np.int64)
                 sizes = rows["size"][p].astype(np.int64) + rows["size"][q]
-                kept = (sizes - apart) // 2 >= needed(sizes, least)
+                kept = (sizes - apart(rows["bits"], p, q)) // 2 >= needed(sizes, least)
                 p, q, sizes = p[kept], q[kept], sizes[kept]
                 if len(p):
                     one, two = rows["lead"][p], rows["lead"][q]
@@ -385,10 +408,9 @@ def _bounded(pairs: DataFrame, maps: DataFrame, least: Fraction) -> DataFrame:
     @F.arrow_udf("boolean")
     def possible(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for sizes, ones, twos in batches:
-            one, two = (np.frombuffer(b"".join(v.to_pylist()), "<u8").reshape(-1, LANES) for v in (ones, twos))
-            total = sizes.to_numpy()
-            apart = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
-            yield pa.array((total - apart) // 2 >= needed(total, least))
+            bits, total = np.array([*ones.to_pylist(), *twos.to_pylist()], object), sizes.to_numpy()
+            p = np.arange(len(total))
+            yield pa.array((total - apart(bits, p, p + len(total))) // 2 >= needed(total, least))
 
     one, two = (maps.select(F.col("node").alias(n), F.col("bits").alias(f"{n}_bits"), F.col("size").alias(f"{n}_size")) for n in "ab")
     joined = pairs.join(one, "a").join(two, "b")
