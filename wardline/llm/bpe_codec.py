@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 # Code points scanned at once. Longer texts go through in pieces that carry the scanner's state.
 BLOCK = 1 << 18
-# Slices whose ids a worker keeps; beyond that it forgets them and starts anew.
-CACHED_SLICES = 100_000
+# Slices of several tokens whose ids a worker keeps; beyond that it forgets those not used lately.
+CACHED_SLICES = 150_000
 # Bytes up to which a slice is merged by looking at all its pairs again; longer ones need a heap.
 SHORT = 40
 NO_RANK = 1 << 40
@@ -155,29 +155,55 @@ def boundaries(text: str, starts: np.ndarray, block: int = BLOCK) -> np.ndarray:
 
 
 class Merges:
-    """Ids of slices already merged: slice -> slot, and for each slot its ids' place in one flat array."""
+    """Ids of slices already merged: slice -> slot, and for each slot its ids' place in one flat array.
+
+    A slice that is one token needs no slot: the vocabulary has it. A full memory keeps what was used since the last time.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.clear()
+        self._begin([], [])
 
-    def clear(self) -> None:
-        self.slots: dict[bytes, int] = {}
+    def _begin(self, pieces: list[bytes], ids: list[tuple[int, ...]]) -> None:
+        self.slots = {piece: k for k, piece in enumerate(pieces)}
+        self.used = np.zeros(0, dtype=bool)
         self.ids, self.first = array("i"), array("q", [0])
+        for own in ids:
+            self.ids.extend(own)
+            self.first.append(len(self.ids))
+
+    def _forget(self) -> None:
+        """Keep the slices used since the last time, if they are less than half, else none."""
+        keep = np.zeros(len(self.slots), dtype=bool)
+        keep[: len(self.used)] = self.used
+        if keep.sum() * 2 > CACHED_SLICES:
+            keep[:] = False
+        kept = [(piece, k) for piece, k in self.slots.items() if keep[k]]
+        self._begin([piece for piece, _ in kept], [tuple(self.ids[self.first[k] : self.first[k + 1]]) for _, k in kept])
 
     def __call__(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all pieces in a row, how many each piece has)."""
         if len(self.slots) > CACHED_SLICES or len(self.ids) > 8 * CACHED_SLICES:
-            self.clear()
-        slots = self.slots
-        for piece in set(pieces).difference(slots):
+            self._forget()
+        slots, ranks = self.slots, self.ranks
+        for piece in set(pieces).difference(slots, ranks):
             slots[piece] = len(slots)
             self.ids.extend(self._ids(piece))
             self.first.append(len(self.ids))
-        at = np.fromiter(map(slots.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+        single = np.fromiter((ranks.get(piece, -1) for piece in pieces), dtype=np.int64, count=len(pieces))
+        many = np.flatnonzero(single < 0)
+        at = np.fromiter((slots[pieces[k]] for k in many.tolist()), dtype=np.int64, count=len(many))
+        if len(self.used) < len(slots):
+            self.used = np.concatenate([self.used, np.zeros(len(slots) - len(self.used), dtype=bool)])
+        self.used[at] = True
         first = np.array(self.first, dtype=np.int64)
-        sizes = first[at + 1] - first[at]
-        return np.array(self.ids, dtype=np.int32)[ranges(first[at], sizes)], sizes
+        sizes = np.ones(len(pieces), dtype=np.int64)
+        sizes[many] = first[at + 1] - first[at]
+        begin = np.cumsum(sizes) - sizes
+        out = np.empty(int(sizes.sum()), dtype=np.int32)
+        out[begin] = single
+        out[ranges(begin[many], sizes[many])] = np.array(self.ids, dtype=np.int32)[ranges(first[at], sizes[many])]
+        return out, sizes
 
     def _ids(self, data: bytes) -> tuple[int, ...]:
         """Merge by rank, the lowest first and of equal ones the leftmost; a known slice is one token."""
@@ -185,14 +211,17 @@ class Merges:
         if (whole := ranks.get(data)) is not None:
             return (whole,)
         if n <= SHORT:
+            rank = ranks.get
             parts = [data[i : i + 1] for i in range(n)]
-            while len(parts) > 1:
-                pairs = [ranks.get(a + b, NO_RANK) for a, b in pairwise(parts)]
-                lowest = min(pairs)
-                if lowest == NO_RANK:
-                    break
+            pairs = [rank(data[i : i + 2], NO_RANK) for i in range(n - 1)]
+            while pairs and (lowest := min(pairs)) != NO_RANK:
                 i = pairs.index(lowest)
-                parts[i : i + 2] = [parts[i] + parts[i + 1]]
+                parts[i] += parts[i + 1]
+                del parts[i + 1], pairs[i]
+                if i:  # only the neighbours of what was merged have other pairs now
+                    pairs[i - 1] = rank(parts[i - 1] + parts[i], NO_RANK)
+                if i < len(pairs):
+                    pairs[i] = rank(parts[i] + parts[i + 1], NO_RANK)
             return tuple(map(ranks.__getitem__, parts))
         end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # parts as a linked list over their starts
         heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(data[i : i + 2])) is not None]
@@ -261,9 +290,15 @@ class Codec:
         first = np.concatenate([starts, [ends[-1] if len(ends) else 0]])[begin[:-1]]
         return (starts - np.repeat(first, np.diff(begin))).astype(np.int32)
 
-    def decode(self, ids: np.ndarray) -> np.ndarray:
-        """The bytes that the ids stand for, in a row."""
-        return self.letters[ranges(self.first_of[ids], self.length_of[ids])]
+    def decode(self, ids: np.ndarray, places: np.ndarray | None = None) -> np.ndarray:
+        """The bytes that the ids stand for, in a row, or each id's where its place says."""
+        sizes = self.length_of[ids]
+        found = self.letters[ranges(self.first_of[ids], sizes)]
+        if places is None:
+            return found
+        out = np.zeros(len(found), dtype=np.uint8)
+        out[ranges(places, sizes)] = found
+        return out
 
 
 @lru_cache(maxsize=4)
@@ -320,7 +355,14 @@ class BpeUdfs:
                 for k in range(0, len(batch), 64):
                     yield _decoded(codec, batch[k : k + 64])
 
-        self._encode, self._ids, self._decode = encode, ids, decode
+        @F.arrow_udf("binary")
+        def placed(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            codec = _codec(digest, shared.value)
+            for lists, offsets in batches:
+                for k in range(0, len(lists), 64):
+                    yield _decoded(codec, lists[k : k + 64], offsets[k : k + 64])
+
+        self._encode, self._ids, self._decode, self._placed = encode, ids, decode, placed
 
     def encode(self, text: Column | str) -> Column:
         """Struct of ids and offsets (each token's first byte within the text)."""
@@ -334,8 +376,12 @@ class BpeUdfs:
         """The bytes the ids stand for; null for null."""
         return self._decode(ids if isinstance(ids, Column) else F.col(ids))
 
+    def decode_at(self, ids: Column | str, offsets: Column | str) -> Column:
+        """The bytes the ids stand for, each id's put where its offset says; null for null."""
+        return self._placed(*(x if isinstance(x, Column) else F.col(x) for x in (ids, offsets)))
+
 
-def _decoded(codec: Codec, lists: pa.Array) -> pa.Array:
+def _decoded(codec: Codec, lists: pa.Array, offsets: pa.Array | None = None) -> pa.Array:
     flat = lists.flatten()
     ids = flat.to_numpy(zero_copy_only=False)
     sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
@@ -345,4 +391,7 @@ def _decoded(codec: Codec, lists: pa.Array) -> pa.Array:
     valid = None
     if lists.null_count:
         valid = pa.py_buffer(np.packbits(lists.is_valid().to_numpy(zero_copy_only=False), bitorder="little"))
-    return pa.Array.from_buffers(pa.binary(), len(lists), [valid, edges, pa.py_buffer(codec.decode(ids))])
+    places = None
+    if offsets is not None:
+        places = np.repeat(bytes_to[:-1], sizes) + offsets.flatten().to_numpy(zero_copy_only=False)
+    return pa.Array.from_buffers(pa.binary(), len(lists), [valid, edges, pa.py_buffer(codec.decode(ids, places))])

@@ -107,10 +107,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_digests(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Encode every text, decode the ids, and give digests of both."""
+    """Encode every text, decode the ids by their offsets, and give digests of both."""
     codec = BpeUdfs(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = docs.select("doc_id", codec.ids("text").alias("ids"))
-    decoded = encoded.select("doc_id", "ids", codec.decode("ids").alias("decoded"))
+    encoded = docs.select("doc_id", codec.encode("text").alias("found"))
+    decoded = encoded.select("doc_id", "found.ids", codec.decode_at("found.ids", "found.offsets").alias("decoded"))
     return decoded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
