@@ -13,7 +13,7 @@ Answers are derived. First every set of a block is compared with one set of the
 links most of a dense group. A set that is highly similar to the one it was compared with takes over that one's
 answers: the overlap of x with z is known to be within |y - x| of that of y, so one comparison of x and z rules out
 z for all relatives of x, and only where that leaves it open is a relative compared itself. Nothing is compared
-within what is connected already. Before sets move, bitmaps of some four bits a shingle bound how much two of them can share.
+within what is connected already. Before sets move, bitmaps of one to two bits a shingle bound how much two of them can share.
 
 Defined results: words are what stands between ASCII white space, only A-Z is lower-cased. A text of fewer words than a shingle
 has one shingle, all of it. A null text, or one without words, has the empty set, which links with nothing, not even
@@ -50,7 +50,7 @@ LESS = 0.7
 # Similarity from which a set takes over another's answers.
 RELATED = Fraction(9, 10)
 # 64-bit words of the shortest bitmap, and buckets of marks (a bounded list of which sets are needed).
-LANES = 16
+LANES = 4
 BUCKETS = 1 << 20
 # Pairs of rows that are tested at once, bytes of a text that are hashed at once, and digests a task remembers.
 PAIRS = 100_000
@@ -127,9 +127,9 @@ def prefix(found: np.ndarray, heavy: np.ndarray, counts: np.ndarray, least: Frac
 def bitmap(found: np.ndarray) -> np.ndarray:
     """Parities of how many shingles fall on each bit: two bitmaps differ in at most as many bits as the sets.
 
-    Its length is a power of two, some four bits a shingle; the exclusive or of its halves is the bitmap of half that length.
+    Its length is a power of two, one to two bits a shingle; the exclusive or of its halves is the bitmap of half that length.
     """
-    size = max(64 * LANES, 1 << (4 * len(found) - 1).bit_length())
+    size = max(64 * LANES, 1 << max(0, len(found) - 1).bit_length())
     bits = np.bincount((found >> np.uint64(17)).astype(np.int64) & (size - 1), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").view("<u8")
 
@@ -436,7 +436,10 @@ def _families(lists: DataFrame, near: DataFrame | None, roots: DataFrame | None,
 
 
 def _block_pairs(rows: DataFrame, least: Fraction) -> DataFrame:
-    """(key, i, j, n): pairs of blocks of a list with rows to compare, and how many pairs of rows at most."""
+    """(key, i, j, n): pairs of blocks of a list with rows to compare, and how many pairs of rows at most.
+
+    A block of two rows has been compared in the first round.
+    """
     per_root = rows.groupBy("key", "block", "root").agg(
         F.count("*").alias("rows"), F.min("size").alias("low"), F.max("size").alias("high"), F.max(F.col("size") - F.col("at")).alias("left")
     )
@@ -450,7 +453,7 @@ def _block_pairs(rows: DataFrame, least: Fraction) -> DataFrame:
         F.max("left").alias("left"),
     )
     blocks = written(blocks, "blocks")
-    inside = blocks.filter("first < last")
+    inside = blocks.filter("first < last and rows > 2")
     inside = inside.select("key", F.col("block").alias("i"), F.col("block").alias("j"), (F.col("rows") * (F.col("rows") - F.col("most"))).alias("n"))
     long = blocks.join(blocks.filter("block > 0").select("key").distinct(), "key", "left_semi")
     i, j = long.alias("i"), long.alias("j")
@@ -493,12 +496,14 @@ def links(nodes: DataFrame, keyed: DataFrame, source: Sets, least: Fraction = LE
     for turn in range(ROUNDS):
         rows = _families(lists, near, roots, least)
         if turn:
-            left = _block_pairs(rows, least).agg(F.sum("n")).first()[0] or 0
+            open_blocks = written(_block_pairs(rows, least), "open_blocks")
+            left = open_blocks.agg(F.sum("n")).first()[0] or 0
             if not left:
                 return near
             if left <= MANY * total or (before and left > before * LESS):
                 break
             before = left
+            rows = rows.join(open_blocks.filter("i = j").select("key", F.col("i").alias("block")), ["key", "block"], "left_semi")
         sorted_rows = rows.repartition("key", "block").sortWithinPartitions("key", "block", F.xxhash64("node", F.lit(turn)))
         pairs = sorted_rows.mapInArrow(_with_one(least), "a bigint, b bigint").distinct()
         found = _shared(written(_bounded(pairs, maps, least), "pairs"), source).filter(_is_link(least))
