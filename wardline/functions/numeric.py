@@ -49,3 +49,20 @@ def mean_coordinate(name: str) -> Column:
     return F.when(F.count(exact) == present, round_half_away(mean, 6)).otherwise(
         F.round(F.avg(name), 6)
     )
+
+
+# What a mean coordinate is made of, so that parts of a group can be added up.
+SUM_PARTS = ("exact_sum", "exact_count", "count", "plain_sum")
+
+
+def coordinate_sums(name: str) -> list[Column]:
+    exact = F.col(name).try_cast("decimal(18,6)")
+    parts = (F.sum(exact), F.count(exact), F.count(name), F.sum(name))
+    return [part.alias(f"{name}_{kind}") for kind, part in zip(SUM_PARTS, parts, strict=True)]
+
+
+def mean_of_sums(name: str) -> Column:
+    """mean_coordinate from the sums of its parts."""
+    exact_sum, exact_count, present, plain_sum = (F.col(f"{name}_{kind}") for kind in SUM_PARTS)
+    mean = exact_sum.cast("double") / F.nullif(present, F.lit(0))
+    return F.when(exact_count == present, round_half_away(mean, 6)).otherwise(F.round(plain_sum / F.nullif(present, F.lit(0)), 6))

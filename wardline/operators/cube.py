@@ -25,3 +25,8 @@ def unit_cube(cleaned: DataFrame) -> DataFrame:
         F.lit(1).alias("incidents"),
         F.col("crime_id").isNotNull().cast("int").alias("incidents_with_id"),
     )
+
+
+def added_cubes(parts: DataFrame) -> DataFrame:
+    """Cubes of several parts of the rows put together."""
+    return parts.groupBy(*CUBE_KEYS).agg(*[F.sum(name).alias(name) for name in ("incidents", "incidents_with_id")])

@@ -69,12 +69,24 @@ def new_rows(
 
     pairs are the batch's (force, month), if the caller has them already.
     """
+    # Keys, repeats and both kinds of rows are taken from it: computed once.
+    batch = written(batch, "batch")
+    known = of_pairs(existing, touched_pairs(batch if pairs is None else pairs)).where(F.col("crime_id").isNotNull())
+    return rows_without(batch, known.select(*ROW_KEY).distinct(), dedupe_within_batch)
+
+
+def rows_without(batch: DataFrame, known: DataFrame, dedupe_within_batch: bool = False) -> DataFrame:
+    """Rows of a written batch whose key is not among the known ones (ROW_KEY); see new_rows."""
     if dedupe_within_batch:
         batch = one_per_key(batch)
     has_id = F.col("crime_id").isNotNull()
-    known = of_pairs(existing, touched_pairs(batch if pairs is None else pairs)).where(has_id).select(*ROW_KEY)
     keyed, keyless = batch.where(has_id), batch.where(~has_id)
-    repeats = written(keyed.select(*ROW_KEY).distinct().join(known.distinct(), list(ROW_KEY), "left_semi"), "repeats")
+    repeats = written(repeated_keys(keyed, known), "repeats")
     # A join on names puts the keys first; restore the order.
     fresh = keyed.join(repeats, list(ROW_KEY), "left_anti").select(*batch.columns)
     return _gathered(fresh.unionByName(keyless))
+
+
+def repeated_keys(keyed: DataFrame, known: DataFrame) -> DataFrame:
+    """Distinct keys of the batch that are known. Known keys that are bucketed by the key stay where they are."""
+    return keyed.select(*ROW_KEY).distinct().join(known.select(*ROW_KEY), list(ROW_KEY), "left_semi")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.functions.numeric import mean_coordinate, percent, sum_if
+from wardline.functions.numeric import SUM_PARTS, coordinate_sums, mean_coordinate, mean_of_sums, percent, sum_if
 from wardline.operators.staging import with_district, with_period
 from wardline.schema import (
     HIGH_FROM,
@@ -117,6 +117,11 @@ def located(cleaned: DataFrame) -> DataFrame:
     return cleaned.dropna(subset=["latitude", "longitude", "lsoa_code"])
 
 
+def _graded(counted: DataFrame, high_from: int, medium_from: int) -> DataFrame:
+    tiered = counted.withColumn("hotspot_tier", tier(F.col("total_crimes"), high_from, medium_from))
+    return with_district(with_period(tiered)).select(*MART_COLUMNS["hotspots"])
+
+
 def hotspots(
     cleaned: DataFrame, high_from: int = HIGH_FROM, medium_from: int = MEDIUM_FROM
 ) -> DataFrame:
@@ -128,8 +133,33 @@ def hotspots(
         F.count(F.lit(1)).alias("total_crimes"),
         *[F.count_if(category == name).alias(column) for column, name in HOTSPOT_COUNTS.items()],
     )
-    tiered = counted.withColumn("hotspot_tier", tier(F.col("total_crimes"), high_from, medium_from))
-    return with_district(with_period(tiered)).select(*MART_COLUMNS["hotspots"])
+    return _graded(counted, high_from, medium_from)
+
+
+_SUMS = ("total_crimes", *HOTSPOT_COUNTS, *[f"{name}_{part}" for name in ("latitude", "longitude") for part in SUM_PARTS])
+
+
+def area_sums(cleaned: DataFrame) -> DataFrame:
+    """What hotspots are made of, in sums that can be added up over any parts of the rows."""
+    category = F.col("crime_type")
+    return located(cleaned).groupBy(*HOTSPOT_KEYS).agg(
+        F.count(F.lit(1)).alias("total_crimes"),
+        *[F.count_if(category == name).alias(column) for column, name in HOTSPOT_COUNTS.items()],
+        *coordinate_sums("latitude"),
+        *coordinate_sums("longitude"),
+    )
+
+
+def added_areas(parts: DataFrame) -> DataFrame:
+    """Sums of several parts put together."""
+    kinds = dict(parts.dtypes)
+    return parts.groupBy(*HOTSPOT_KEYS).agg(*[F.sum(name).cast(kinds[name]).alias(name) for name in _SUMS])
+
+
+def hotspots_of(areas: DataFrame, high_from: int = HIGH_FROM, medium_from: int = MEDIUM_FROM) -> DataFrame:
+    """The hotspot mart from area sums; the same as from the rows."""
+    means = {"centroid_lat": mean_of_sums("latitude"), "centroid_lon": mean_of_sums("longitude")}
+    return _graded(areas.withColumns(means), high_from, medium_from)
 
 
 # Reading order of each mart: column -> ascending.

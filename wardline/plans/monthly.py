@@ -2,8 +2,9 @@
 
 All forces and months go through each step together. A force-month that fails a gate is held back
 with the reason and stays pending: its force's mark goes no further than the month before it, whatever
-later months are loaded, and those are not loaded twice. Failing column tests, which look at the months
-that changed, stop the run before anything is logged and any mark moves.
+later months are loaded, and those are not loaded twice. A file that cannot be used is held back like any other;
+the rest is loaded. Failing column tests, which look at the months that changed, stop the run, and
+nothing of it is published.
 """
 
 from __future__ import annotations
@@ -14,11 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.months import previous_month
-from wardline.operators.quality import RULES, Rule, file_verdicts, missing_pairs, require_rules
+from wardline.operators.quality import RULES, Rule, missing_pairs, require_rules
 from wardline.schema import FORCES, MIN_FILE_ROWS
-from wardline.sources.incident_files import discover_files, force_of, read_files, to_raw
+from wardline.sources.incident_files import discover_files, force_of, judge, standard_rows, to_raw
 from wardline.sources.landing import land
 from wardline.sources.marks import HELD, LOADED, pending_months
+from wardline.sources.records import scan
 from wardline.sources.warehouse import Load, Warehouse
 
 
@@ -66,8 +68,24 @@ def run_monthly(
 ) -> MonthlyRun:
     """Load every pending month that has a file in the inbox; start is where a new force begins.
 
-    Repeating a run with the same load_id after a failure is safe: its rows are replaced.
+    Rows, marts, months and marks of a run are published together at its end. A run that fails before leaves all as
+    it was, but for the files it landed, and is simply run again.
     """
+    with warehouse.publication() as house:
+        return _run(house, inbox, landing, through, load_id, forces, min_rows, rules, start)
+
+
+def _run(
+    warehouse: Warehouse,
+    inbox: str,
+    landing: str,
+    through: str,
+    load_id: str,
+    forces: tuple[str, ...],
+    min_rows: int,
+    rules: tuple[Rule, ...],
+    start: str | None,
+) -> MonthlyRun:
     spark, run = warehouse.spark, MonthlyRun()
     keys = ["force", "month"]
     planned = plan_months(warehouse, through, forces, start)
@@ -76,29 +94,26 @@ def run_monthly(
     for row in found:
         if row["path"] is None:
             run.held_back[row["force"], row["month"]] = "no file"
-    paths = [row["path"] for row in found if row["path"]]
-    if not paths:
+    files = [row for row in found if row["path"]]
+    if not files:
         _log(warehouse, run)
         return run
 
-    # One row per file. A file without rows has none.
-    counted = {row["source_path"]: row for row in file_verdicts(read_files(spark, paths), min_rows).collect()}
-    for row in found:
-        verdict = counted.get(row["source_path"])
-        if row["path"] and not (verdict and verdict["passed"]):
-            run.held_back[row["force"], row["month"]] = f"{row['file_name']}: under {min_rows} rows"
-        elif row["path"] and verdict["malformed"]:
-            run.held_back[row["force"], row["month"]] = f"{row['file_name']}: {verdict['malformed']} malformed rows"
-    good = [row for row in found if row["path"] and (row["force"], row["month"]) not in run.held_back]
+    seen = scan(spark, [row["path"] for row in files])
+    verdicts = judge(seen, [(row["source_path"], row["file_name"]) for row in files], min_rows)
+    warehouse.note_files([(row["source_path"], row["file_name"], row["force"], row["month"], *verdicts[row["source_path"]]) for row in files], load_id)
+    for row in files:
+        if reason := verdicts[row["source_path"]][1]:
+            run.held_back[row["force"], row["month"]] = reason
+    # Of several loosely named files of a month, one that is held back holds the month back.
+    good = [row for row in files if (row["force"], row["month"]) not in run.held_back]
     if not good:
         _log(warehouse, run)
         return run
 
-    files = spark.createDataFrame(
-        good, "force string, month string, path string, source_path string, file_name string"
-    )
-    land(files, landing, forces)
-    rows = read_files(spark, [row["path"] for row in good])
+    chosen = spark.createDataFrame(good, "force string, month string, path string, source_path string, file_name string")
+    land(chosen, landing, forces, seen)
+    rows = standard_rows(seen, chosen.select("source_path"))
     batch = to_raw(rows, force_of(F.col("source_file"), forces), keep=["source_path"])
     run.load = warehouse.load(batch, load_id, file_order="source_path")
 
@@ -110,7 +125,7 @@ def run_monthly(
     run.loaded = sorted(pair for pair in attempted if pair not in run.held_back)
 
     changed = [row["month"] for row in warehouse.loaded(load_id).select("month").distinct().collect()]
-    warehouse.refresh_marts(changed if warehouse.ready() else None)
+    warehouse.grow_marts(load_id)
     require_rules(warehouse.models(changed), rules)
     _log(warehouse, run)
     warehouse.advance_marks()

@@ -12,6 +12,7 @@ from wardline.operators import features, narrative
 from wardline.operators.quality import GateError, dropped_rows, month_format, require_columns
 from wardline.schema import FILE_COLUMNS
 from wardline.sources.incident_files import list_paths, read_any_encoding
+from wardline.sources.records import MALFORMED
 
 log = logging.getLogger(__name__)
 
@@ -30,7 +31,8 @@ def load_report_rows(
         *[F.col(f"`{name}`").alias(FILE_COLUMNS.get(name, name)) for name in rows.columns]
     )
     # One row per file. A file without rows has none, and no month either.
-    verdicts = {row["source_file"]: row for row in month_format(renamed, by=["source_file"]).collect()}
+    counted = month_format(renamed, by=["source_file"]).join(renamed.groupBy("source_file").agg(F.count(MALFORMED).alias("malformed")), "source_file")
+    verdicts = {row["source_file"]: row for row in counted.collect()}
     wrong = [
         path
         for path in list_paths(spark, paths)
@@ -41,7 +43,9 @@ def load_report_rows(
     for path, row in verdicts.items():
         if row["status"] == "warn":
             log.warning("%s: %d of %d months are YYYY-MM", path, row["matching"], row["non_null"])
-    return renamed.dropna(subset=["crime_type"])
+        if row["malformed"]:
+            log.warning("%s: %d records with more or fewer fields than the header", path, row["malformed"])
+    return renamed.dropna(subset=["crime_type"]).drop(MALFORMED)
 
 
 def dropped_by_file(

@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from wardline.schema import COORDINATES, FILE_COLUMNS, FILE_SCHEMA, FORCES
+from wardline.operators.quality import file_verdicts
+from wardline.schema import COORDINATES, FILE_COLUMNS, FORCES
+from wardline.sources.records import LATIN1, MALFORMED, UTF8, Scan, column_names, scan
 
 # Name of an incident file, exact and with other text around month and force.
 FILE_GLOB = "*street*.csv"
 EXACT_NAME = r"^(\d{4}-\d{2})-(.+)-street\.csv$"
 
-UTF8, LATIN1 = "UTF-8", "ISO-8859-1"
 # Other names for the two.
 ENCODING_NAMES = {
     "utf-8": UTF8,
@@ -25,11 +26,6 @@ ENCODING_NAMES = {
     "iso-8859-1": LATIN1,
 }
 
-_CSV = {"header": True, "escape": '"', "mode": "PERMISSIVE"}
-
-# Set for a record that has more or fewer fields than the header.
-MALFORMED = "_malformed"
-
 
 def file_name_of(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
@@ -90,96 +86,86 @@ def list_paths(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
     return [row[0] for row in listed.select("_metadata.file_path").collect()]
 
 
-def file_layouts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Per file: whether it is valid UTF-8 throughout, and its header line. One pass over all."""
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"),
-        "value",
-        # Line order inside a split; only splits at the start of a file compete for the header.
-        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("_at"),
-    )
-    return lines.groupBy("path").agg(
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
-        F.min_by("value", "_at").alias("header"),
-    )
-
-
-def _read_alike(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFrame:
-    """Files that share encoding and header, read in one scan. No types are guessed."""
-    reader = spark.read.options(**_CSV).option("encoding", encoding)
-    # Column names from one file hold for all, and each header is checked against them.
-    names = reader.csv(paths[0]).columns
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    rows = reader.schema(schema).option("enforceSchema", False).csv(list(paths))
-    return rows.withColumn("source_file", F.col("_metadata.file_path"))
-
-
 def read_any_encoding(
     spark: SparkSession, paths: str | Sequence[str], encoding: str | None = None
 ) -> DataFrame:
-    """Text columns of any number of CSV files, matched by name, plus source_file.
+    """Text columns of any number of CSV files, matched by name, plus MALFORMED and source_file (the path).
 
     Each file is read as UTF-8 if all of it is valid UTF-8, else as ISO-8859-1, which accepts any
-    byte. A given encoding is the only one used. There is one scan per distinct encoding and header.
+    byte. A given encoding is the only one used. Records are put together as in read_files; files
+    that share a header share a frame.
     """
     given = encoding and ENCODING_NAMES.get(encoding.lower(), encoding)
-    # One row per file, not per line.
-    layouts = file_layouts(spark, paths).collect()
-    undecodable = sorted(row["path"] for row in layouts if not row["utf8"])
-    if given == UTF8 and undecodable:
+    seen = scan(spark, paths)
+    if given == UTF8 and (undecodable := _paths(seen.files.where("not utf8"))):
         raise ValueError(f"could not decode as {UTF8}: {undecodable}")
-    if not layouts:
+    if broken := _paths(seen.files.where(F.col("problem").startswith("unreadable"))):
+        raise ValueError(f"could not be read whole: {broken}")
+    # One row per distinct header, not per file.
+    headers = sorted(row["header"] for row in seen.files.where("header is not null").select("header").distinct().collect())
+    if not headers:
         raise ValueError(f"no lines in {paths}")
-    alike: dict[tuple[str, str], list[str]] = {}
-    for row in layouts:
-        used = given or (UTF8 if row["utf8"] else LATIN1)
-        alike.setdefault((used, row["header"]), []).append(row["path"])
-    frames = [_read_alike(spark, sorted(group), used) for (used, _), group in sorted(alike.items())]
-    combined = frames[0]
-    for frame in frames[1:]:
-        combined = combined.unionByName(frame, allowMissingColumns=True)
-    return combined
+    combined = None
+    for header in headers:
+        alike = seen.files.where(F.col("header") == header).select("source_path")
+        frame = seen.rows(column_names(header), alike, given).withColumnRenamed("source_path", "source_file")
+        combined = frame if combined is None else combined.unionByName(frame, allowMissingColumns=True)
+    # As they came: the file's own columns first.
+    return combined.select(*[F.col(f"`{name}`") for name in combined.columns if name not in (MALFORMED, "source_file")], MALFORMED, "source_file")
+
+
+def _paths(files: DataFrame) -> list[str]:
+    return sorted(row["source_path"] for row in files.select("source_path").collect())
 
 
-def latin_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(source_path) of the files that are not valid UTF-8 throughout; they count as ISO-8859-1."""
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("source_path"), "value")
-    checked = lines.groupBy("source_path").agg(F.bool_and(F.is_valid_utf8("value")).alias("_utf8"))
-    return checked.where(~F.col("_utf8")).select("source_path")
+def standard_header(header: Column) -> Column:
+    """Whether a header line holds the twelve names in their order."""
+    names = F.from_csv(header, ", ".join(f"c{k} string" for k in range(len(FILE_COLUMNS) + 1)), {"escape": '"'})
+    found = [names[f"c{k}"].eqNullSafe(F.lit(name)) for k, name in enumerate(FILE_COLUMNS)]
+    return reduce(Column.__and__, found) & names[f"c{len(FILE_COLUMNS)}"].isNull()
+
+
+def file_problems(seen: Scan) -> DataFrame:
+    """(source_path, problem) of every file of a scan that cannot be used as a standard file: a row each, no error."""
+    wrong = F.when(~F.coalesce(standard_header(F.col("header")), F.lit(False)), F.concat(F.lit("header is "), F.substring("header", 1, 200)))
+    return seen.files.select("source_path", F.coalesce("problem", wrong).alias("problem")).where("problem is not null")
+
+
+def judge(seen: Scan, files: Sequence[tuple[str, str]], min_rows: int) -> dict[str, tuple[int, str | None]]:
+    """For each (source_path, file_name) of a scan: its rows, and why it is held back, or None. No file stops the others."""
+    problems = {row["source_path"]: row["problem"] for row in file_problems(seen).collect()}  # a row a file, as below
+    usable = seen.files.join(file_problems(seen), "source_path", "left_anti").select("source_path")
+    counted = {row["source_path"]: row for row in file_verdicts(standard_rows(seen, usable), min_rows).collect()}
+    out = {}
+    for path, name in files:
+        verdict, reason = counted.get(path), problems.get(path)
+        if not reason and not (verdict and verdict["passed"]):
+            reason = f"under {min_rows} rows"
+        elif not reason and verdict["malformed"]:
+            reason = f"{verdict['malformed']} malformed rows"
+        out[path] = (verdict["row_count"] if verdict else 0, f"{name}: {reason}" if reason else None)
+    return out
+
+
+def standard_rows(seen: Scan, chosen: DataFrame | None = None) -> DataFrame:
+    """Rows of the chosen files (source_path), or all, of a scan: the twelve columns, MALFORMED, source_path and source_file."""
+    rows = seen.rows(list(FILE_COLUMNS), chosen)
+    return rows.select("*", plain_name(F.col("source_path")).alias("source_file"))
 
 
 def read_files(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """Standard files: the twelve columns as text, source_path and source_file (its name), and MALFORMED.
 
-    The header of every file must hold the twelve names in their order, else the job stops. A quoted field
-    may run over several lines; a file is therefore read by one task. Bytes are taken one to one and
-    then read as UTF-8, except in files that are not UTF-8 throughout. Blanks stay as they are. MALFORMED
-    holds the text of a record with too many or too few fields and is null for all others.
+    The header of every file must hold the twelve names in their order, and every file must be readable, else the job
+    stops (scan, file_problems and standard_rows are for jobs that go on). A quoted field may run over several
+    lines. Blanks stay as they are. MALFORMED holds the text of a record with too many or too few fields
+    and is null for all others.
     """
-    paths = paths if isinstance(paths, str) else list(paths)
-    schema = T.StructType([*FILE_SCHEMA, T.StructField(MALFORMED, T.StringType())])
-    rows = (
-        spark.read.options(**_CSV)
-        .option("multiLine", True)
-        .option("encoding", LATIN1)
-        .option("enforceSchema", False)
-        .option("columnNameOfCorruptRecord", MALFORMED)
-        .option("columnPruning", False)  # a reader that skips fields does not notice that some are missing
-        .schema(schema)
-        .csv(paths)
-        .select("*", F.col("_metadata.file_path").alias("source_path"))
-    )
-    latin = latin_files(spark, paths).withColumn("_latin", F.lit(True))
-    marked = rows.join(latin, "source_path", "left")
-
-    def text(name: str) -> Column:
-        column = F.col(f"`{name}`")
-        # Only what is not plain ASCII differs between the two.
-        other = F.col("_latin").isNull() & column.rlike(r"[^\x00-\x7F]")
-        return F.when(other, F.decode(F.encode(column, LATIN1), UTF8)).otherwise(column).alias(name)
-
-    columns = [text(name) for name in (*FILE_COLUMNS, MALFORMED)]
-    return marked.select(*columns, "source_path", plain_name(F.col("source_path")).alias("source_file"))
+    seen = scan(spark, paths if isinstance(paths, str) else list(paths))
+    empty = F.col("problem") == "no header"
+    if wrong := file_problems(seen).where(~empty & (F.col("problem") != "a quote is never closed")).collect():
+        raise ValueError("not standard files: " + "; ".join(f"{row['source_path']}: {row['problem']}" for row in wrong))
+    return standard_rows(seen)
 
 
 def to_raw(rows: DataFrame, force: str | Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
