@@ -19,7 +19,7 @@ import unicodedata
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import pairwise
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 # Code points scanned at once. Longer texts go through in pieces that carry the scanner's state.
 BLOCK = 1 << 18
 # Slices of several tokens whose ids a worker keeps; beyond that it forgets those not used lately.
-CACHED_SLICES = 150_000
+CACHED_SLICES = 200_000
 # Bytes up to which a slice is merged by looking at all its pairs again; longer ones need a heap.
 SHORT = 40
 NO_RANK = 1 << 40
@@ -190,9 +190,9 @@ class Merges:
             slots[piece] = len(slots)
             self.ids.extend(self._ids(piece))
             self.first.append(len(self.ids))
-        single = np.fromiter((ranks.get(piece, -1) for piece in pieces), dtype=np.int64, count=len(pieces))
+        single = np.fromiter(map(ranks.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
         many = np.flatnonzero(single < 0)
-        at = np.fromiter((slots[pieces[k]] for k in many.tolist()), dtype=np.int64, count=len(many))
+        at = np.fromiter(map(slots.__getitem__, map(pieces.__getitem__, many.tolist())), dtype=np.int64, count=len(many))
         if len(self.used) < len(slots):
             self.used = np.concatenate([self.used, np.zeros(len(slots) - len(self.used), dtype=bool)])
         self.used[at] = True
