@@ -136,7 +136,7 @@ def op10() -> str:
             run = " ".join(told[place : place + k])
             rows.append(f"({number}, {_text(label)}, {phrase}, {len(told)}, {len(told) - k + 1}, {place}, {k}, {_text(run)})")
     return f"""
-with templates(template, label, phrase, size, runs, place, k, run) as (values {", ".join(rows)}),
+with recursive templates(template, label, phrase, size, runs, place, k, run) as (values {", ".join(rows)}),
 docs as (select row_number() over () as n, doc_id, {words("text")} as w from documents),
 runs as (
   select n, pos, k, array_to_string(w[pos + 1 : pos + k], ' ') as run
@@ -155,14 +155,41 @@ marked as (
 ),
 spans as (
   select n, template, label, size, runs, span, min(start) as start, max(stop) as stop,
-    len(list_distinct(flatten(list(places)))) / any_value(runs) as cover
+    list_distinct(flatten(list(places))) as all_places, len(list_distinct(flatten(list(places)))) / any_value(runs) as cover
   from (select *, sum(fresh) over (partition by n, template order by start, diagonal rows unbounded preceding) as span from marked)
   group by n, template, label, size, runs, span
 ),
+shared as (
+  select a.template, b.template as other from templates a join templates b on a.run = b.run and a.label <> b.label
+  where not a.phrase and not b.phrase
+  group by a.template, b.template, a.runs, b.runs having count(distinct a.place) >= {least} * least(a.runs, b.runs)
+),
+telling as (
+  select t.template, list(t.place) as wanted from templates t
+  where t.template in (select template from shared) and (t.template, t.run) not in
+    (select s.template, o.run from shared s join templates o on s.other = o.template)
+  group by t.template
+),
+fitting as (
+  select n, label, start, stop, cover, row_number() over (partition by n order by cover desc, stop - start desc, template, start) as place
+  from spans left join telling using (template)
+  where cover >= {least} and stop - start <= {stretch} * size + {near}
+    and (wanted is null or len(list_intersect(all_places, wanted)) = len(wanted))
+),
+picked(n, place, kept) as (
+  select n, place, [place] from fitting where place = 1
+  union all
+  select p.n, f.place, case when len(list_intersect(p.kept, coalesce(f.rivals, []::bigint[]))) > 0 then p.kept else list_append(p.kept, f.place) end
+  from picked p join (
+    select x.n, x.place, x.start, x.stop, list(y.place) filter (where y.start < x.stop and x.start < y.stop) as rivals
+    from fitting x join fitting y on x.n = y.n and y.place < x.place group by x.n, x.place, x.start, x.stop
+  ) f on p.n = f.n and f.place = p.place + 1
+),
+chosen as (select n, arg_max(kept, place) as kept from picked group by n),
 found as (
   select n, label, start, true as phrase, 1.0::double as cover from votes where phrase
   union all
-  select n, label, start, false, cover from spans where cover >= {least} and stop - start <= {stretch} * size + {near}
+  select n, label, start, false, cover from fitting join chosen using (n) where list_contains(kept, place)
 ),
 told as (
   select n, count(*) filter (where phrase) as n_base, min(start) filter (where phrase)::bigint as first_word,
