@@ -448,6 +448,16 @@ def oracle_sql() -> dict[str, str]:
             from keyed group by force, month""",
             "keyed",
         ),
+        "warehouse_loads": _sql(
+            """select 'first' as load_id, count(*) as inserted, count(*) filter (where crime_id is null) as keyless, count(*) as stored from loaded
+            union all
+            select 'second', count(*), count(*) filter (where crime_id is null), count(*) from batch b
+            where not exists (select 1 from loaded r where r.crime_id = b.crime_id and r.month = b.month and r.force = b.force)
+            union all
+            select 'third', count(*), count(*), count(*) from batch where crime_id is null""",
+            "loaded",
+            "batch",
+        ),
         "marks_after_gates": _sql(
             """select force, printf('%04d-%02d', (gap - 2) // 12, (gap - 2) % 12 + 1) as month
             from (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +18,12 @@ from wardline.operators.staging import clean, stage
 from wardline.plans import dashboard
 from wardline.plans.dashboard import Selection
 from wardline.plans.sample import raw_incidents, table
-from wardline.schema import ROW_KEY
+from wardline.schema import FILE_COLUMNS, ROW_KEY
+from wardline.session import shared_dir
 from wardline.sources import marks
+from wardline.sources.incident_files import to_raw
 from wardline.sources.landing import list_partitions
+from wardline.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,9 +97,10 @@ def raw_try_cast(spark, sf_dir):
         .when(F.col("l_partkey") % 11 == 0, F.concat(F.lit(" -"), supplier, F.lit(".5 ")))
         .otherwise(F.concat(supplier, F.lit(".25")))
     )
-    return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", text.try_cast("double").alias("value")
-    )
+    keep = ["l_orderkey", "l_linenumber", "l_partkey"]
+    columns = [(text if column == "longitude" else F.lit(None).cast("string")).alias(name) for name, column in FILE_COLUMNS.items()]
+    rows = table(spark, sf_dir, "lineitem").select(*columns, *keep)
+    return to_raw(rows, "nowhere", keep).select(*keep, F.col("longitude").alias("value"))
 
 
 # -- marts ----------------------------------------------------------------------------------------
@@ -366,6 +371,23 @@ def load_counts(spark, sf_dir):
     )
 
 
+@query
+def warehouse_loads(spark, sf_dir):
+    """Three loads into tables of their own: the first months, a batch that overlaps them, and that batch again. What each
+    load counted while it wrote, and how many rows of it are stored."""
+    name = uuid.uuid4().hex[:12]
+    house = Warehouse(spark, f"{shared_dir(spark).rstrip('/')}/warehouse-{name}", f"q{name}_", buckets=1)
+    house.initialise()
+    rows = raw_incidents(spark, sf_dir).where(F.col("month").isNotNull())
+    rows = rows.withColumns(
+        {"crime_id": blank_to_null(F.col("crime_id")), "force": F.trim("force"), "_loaded_at": F.col("_loaded_at").cast("timestamp")}
+    )
+    first, batch = _loaded_and_batch(rows)
+    loads = [house.load(first, "first"), house.load(batch, "second"), house.load(batch, "third")]
+    counted = spark.createDataFrame([(load.load_id, load.inserted, load.keyless) for load in loads], "load_id string, inserted bigint, keyless bigint")
+    return counted.join(house.raw().groupBy("load_id").agg(F.count(F.lit(1)).alias("stored")), "load_id")
+
+
 def _mark_log(spark, sf_dir):
     """One mark per force and month, set when the last row of the month was loaded; each force has an end of its own."""
     end = F.concat((F.lit(1994) + F.length("force") % 7).cast("string"), F.lit("-12"))
