@@ -13,7 +13,7 @@ Answers are derived. First every set of a block is compared with one set of the
 links most of a dense group. A set that is highly similar to the one it was compared with takes over that one's
 answers: the overlap of x with z is known to be within |y - x| of that of y, so one comparison of x and z rules out
 z for all relatives of x, and only where that leaves it open is a relative compared itself. Nothing is compared
-within what is connected already. Before sets move, bitmaps of one to two bits a shingle bound how much two of them can share.
+within what is connected already. Before sets move, bitmaps of one to four bits a shingle bound how much two of them can share.
 
 Defined results: words are what stands between ASCII white space, only A-Z is lower-cased. A text of fewer words than a shingle
 has one shingle, all of it. A null text, or one without words, has the empty set, which links with nothing, not even
@@ -49,8 +49,9 @@ MANY = 4
 LESS = 0.7
 # Similarity from which a set takes over another's answers.
 RELATED = Fraction(9, 10)
-# 64-bit words of the shortest bitmap, and buckets of marks (a bounded list of which sets are needed).
+# 64-bit words of the shortest bitmap, bits up to which one is fine, and buckets of marks (a bounded list of which sets are needed).
 LANES = 4
+FINE = 2048
 BUCKETS = 1 << 20
 # Pairs of rows that are tested at once, bytes of a text that are hashed at once, and digests a task remembers.
 PAIRS = 100_000
@@ -127,9 +128,10 @@ def prefix(found: np.ndarray, heavy: np.ndarray, counts: np.ndarray, least: Frac
 def bitmap(found: np.ndarray) -> np.ndarray:
     """Parities of how many shingles fall on each bit: two bitmaps differ in at most as many bits as the sets.
 
-    Its length is a power of two, one to two bits a shingle; the exclusive or of its halves is the bitmap of half that length.
+    Its length is a power of two: four bits a shingle up to FINE bits, then one to two; the exclusive or of its halves is the bitmap of half that length.
     """
-    size = max(64 * LANES, 1 << max(0, len(found) - 1).bit_length())
+    wanted = min(4 * len(found), max(FINE, len(found)))
+    size = max(64 * LANES, 1 << max(0, wanted - 1).bit_length())
     bits = np.bincount((found >> np.uint64(17)).astype(np.int64) & (size - 1), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").view("<u8")
 
@@ -504,7 +506,9 @@ def links(nodes: DataFrame, keyed: DataFrame, source: Sets, least: Fraction = LE
                 break
             before = left
             rows = rows.join(open_blocks.filter("i = j").select("key", F.col("i").alias("block")), ["key", "block"], "left_semi")
-        sorted_rows = rows.repartition("key", "block").sortWithinPartitions("key", "block", F.xxhash64("node", F.lit(turn)))
+        # One set leads many lists at first; later each list has its own, so that a set is compared with many.
+        order = F.xxhash64("node", "key", F.lit(turn)) if turn else F.xxhash64("node")
+        sorted_rows = rows.repartition("key", "block").sortWithinPartitions("key", "block", order)
         pairs = sorted_rows.mapInArrow(_with_one(least), "a bigint, b bigint").distinct()
         found = _shared(written(_bounded(pairs, maps, least), "pairs"), source).filter(_is_link(least))
         found = written(found, "near")
