@@ -9,7 +9,7 @@ parts that nobody reads. Two jobs that began at the same state cannot both publi
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
@@ -57,9 +57,9 @@ class Load:
 
 
 def _empty() -> dict:
-    """loads: parts of the raw table and the (force, month) in them that a later part replaced; months: the part of each
-    month by table; whole: the part of each mart; marks and status: by force."""
-    return {"loads": {}, "months": {name: {} for name in MONTHLY}, "whole": {}, "marks": {}, "status": {}}
+    """loads: parts of the raw table and the (force, month) in them that a later part replaced; summed: those that the marts
+    hold; months: the part of each month by table; whole: the part of each mart; marks and status: by force."""
+    return {"loads": {}, "summed": [], "months": {name: {} for name in MONTHLY}, "whole": {}, "marks": {}, "status": {}}
 
 
 @dataclass
@@ -283,6 +283,12 @@ class Warehouse:
             cleaned = clean(rows)
             present = sorted(row["month"] for row in cleaned.select("month").distinct().collect())
             house._rebuild(incident_cube(cleaned), marts.area_sums(cleaned), present if months is None else sorted(months), months is None)
+            state = house.draft.state
+            left = set(state["loads"]) - set(state["summed"])
+            if months is not None and left:  # a part counts as summed if all its months were
+                parts = house._parts_of(left).where(F.col("month").isNull() | ~F.col("month").isin(months))
+                left -= {row["load_id"] for row in parts.select("load_id").distinct().collect()}
+            state["summed"] = sorted({*state["summed"], *left} & set(state["loads"]))
 
     def grow_marts(self, load_id: str) -> None:
         """Add a load to the marts: its rows are read, and the sums of its months, but no raw row of another load.
@@ -290,16 +296,28 @@ class Warehouse:
         Where the load replaced rows that it had written before, its months are rebuilt.
         """
         with self.publication() as house:
-            loads = house.state()["loads"]
-            replaced = any(pairs for part, pairs in loads.items() if part.rsplit("~", 1)[0] == load_id)
-            months = sorted(row["month"] for row in house.loaded(load_id).where("month is not null").select("month").distinct().collect())
-            if replaced or not all(house.spark.catalog.tableExists(house._name("marts", name)) for name in MONTHLY):
-                house.refresh_marts(months if house.ready() else None)
+            state = house.draft.state
+            own = [part for part in state["loads"] if part.rsplit("~", 1)[0] == load_id]
+            fresh = [part for part in own if part not in state["summed"]]
+            stale = [part for part in own if part in state["summed"] and state["loads"][part]]
+            rows = house._parts_of(fresh)
+            months = {row["month"] for row in rows.where("month is not null").select("month").distinct().collect()}
+            if not all(house.spark.catalog.tableExists(house._name("marts", name)) for name in MONTHLY) or not house.ready():
+                house.refresh_marts()
                 return
-            added = clean(house.loaded(load_id))
-            cube = added_cubes(house._months_of("incident_cube", months).unionByName(incident_cube(added)))
-            areas = marts.added_areas(house._months_of("area_sums", months).unionByName(marts.area_sums(added)))
-            house._rebuild(cube, areas, months, False)
+            if stale:
+                months |= {month for part in stale for _, month in state["loads"][part] if month is not None}
+                house.refresh_marts(sorted(months))
+            else:
+                added = clean(rows)
+                cube = added_cubes(house._months_of("incident_cube", sorted(months)).unionByName(incident_cube(added)))
+                areas = marts.added_areas(house._months_of("area_sums", sorted(months)).unionByName(marts.area_sums(added)))
+                house._rebuild(cube, areas, sorted(months), False)
+            state["summed"] = sorted({*state["summed"], *fresh})
+
+    def _parts_of(self, parts: Iterable[str]) -> DataFrame:
+        """Raw rows of these parts that count."""
+        return self._counted(self.spark.table(self._name("raw", "incidents"))).where(F.col("load_id").isin(sorted(parts)) if parts else F.lit(False))
 
     def _rebuild(self, cube: DataFrame, areas: DataFrame, months: list[str], whole: bool) -> None:
         self._write_months(cube, "incident_cube", months, whole)
