@@ -149,3 +149,53 @@ def test_repeated_rows_reach_the_driver_once(spark, monkeypatch):
     assert len(seen[0][1]) == 402 and seen[0][2].sum() == 901
     quality.train(frame, marks, "doc_id", "quality", sample_rows=50)
     assert len(seen[1][1]) < 120
+
+
+def plain_posteriors(words, grams, counts_by_table, languages, text):
+    """Scores straight from counts, one word and one language at a time."""
+    scores = []
+    for lang in languages:
+        total, n_words = 0.0, 0
+        for word in text.lower().split():
+            n_words += 1
+            left = f"_{word}_"
+            if word in words:
+                entries, table = [word], 0
+            else:
+                entries, table = [], 1
+                while left:
+                    size = next((k for k in range(min(5, len(left)), 0, -1) if left[:k] in grams), 0)
+                    entries += [left[:size]] if size else []
+                    left = left[size or 1 :]
+            counts = counts_by_table[table]
+            seen = sum(by_lang.get(lang, 0) for by_lang in counts.values())
+            total += sum(math.log((counts[e].get(lang, 0) + 0.5) / (seen + 0.5 * len(counts) + 1)) for e in entries)
+        scores.append(total * min(n_words, 12) / n_words)
+    top = max(scores)
+    return languages[scores.index(top)], 1 / sum(math.exp(x - top) for x in scores)
+
+
+def test_every_language_is_learned_and_predicted_as_plain_counts_say(spark):
+    """More languages than any fixed number of them, most with few rows; an independent version from plain counts."""
+    names = [f"l{k:03d}" for k in range(620)]
+    rows = [(k, f"common w{chr(97 + k % 26)}{chr(97 + k // 26)} w{chr(97 + k % 26)}{chr(97 + k // 26)} the", name) for k, name in enumerate(names)]
+    rows += [(1000, "common common the the the", "l003"), (1001, "once", "l004")]
+    taught = model(spark, rows)
+    assert taught.languages == names
+    words, grams = {}, {}
+    for _, text, lang in rows:
+        for word in text.split():
+            word_counts = words.setdefault(word, {})
+            word_counts[lang] = word_counts.get(lang, 0) + 1
+            padded = f"_{word}_"
+            for at in range(len(padded)):
+                for stop in range(at + 1, min(at + 5, len(padded)) + 1):
+                    by_lang = grams.setdefault(padded[at:stop], {})
+                    by_lang[lang] = by_lang.get(lang, 0) + 1
+    tables = [{e: c for e, c in table.items() if sum(c.values()) > 1} for table in (words, grams)]
+    assert set(taught.words) == set(tables[0]) and set(taught.grams) == set(tables[1])
+    for text in ("waa common", "wxw the wxw", "once unseen wabab", "the", "common the common " * 9):
+        lang, score = plain_posteriors(*tables, tables, names, text)
+        found = taught.predict(text)
+        assert found[0] == lang and found[1] == pytest.approx(score, rel=1e-6)
+    assert sum(taught.predict(rows[k][1])[0] == names[k] for k in range(620)) == 620

@@ -2,8 +2,9 @@
 
 Training counts words per language on Spark, over a sample of at most rows_per_language expected rows of each
 language (drawn by a hash of id and text, whole texts), and n-grams from the counted words. The model keeps
-the max_entries most frequent words and as many n-grams; that bounds what the driver collects and
-broadcasts, whatever the corpus. Ties go by text, so a model is the same for any partitioning.
+the max_entries most frequent words and as many n-grams, each with the languages it was seen in and no others;
+that bounds what the driver collects and broadcasts, whatever the corpus. Every language is learned: each adds its
+name and two numbers. Ties go by text, so a model is the same for any partitioning.
 
 A known word adds, for each language, its smoothed log frequency there. An unseen word is covered from left
 to right by the longest known n-gram at each place, from max_gram letters down to one; a letter without any
@@ -11,7 +12,8 @@ counts the same for all languages. The language with the largest sum wins, the a
 ones.
 
 Defined results: null texts and texts without a letter give "und" with score 0, and so does everything if
-nothing could be learned (no rows, no language, only nulls). Repeated rows count as often as they occur.
+nothing could be learned (no rows, no language, only nulls). Repeated rows count as often as they occur. Other
+columns are not looked at, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,10 +27,11 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardline.session import written
+
 UNKNOWN = "und"
 ROWS_PER_LANGUAGE = 4_000
 MAX_ENTRIES = 150_000
-MAX_LANGUAGES = 500
 MAX_GRAM = 5
 # Words after which more of them no longer make a prediction more certain.
 CERTAIN_AFTER = 12
@@ -44,27 +47,58 @@ NO_WORD = r"[^\p{L}\p{M}]+"
 EDGE = "_"
 
 
+class Logs:
+    """Log frequencies by entry (a known word or n-gram) and language, stored for the languages an entry was seen in.
+
+    Everywhere else an entry has its table's floor for that language.
+    """
+
+    def __init__(self, tables: list[list[list[tuple[int, int]]]], width: int):
+        """tables: for each, and each of its entries, pairs of language and count."""
+        pairs = [pair for entries in tables for seen in entries for pair in seen]
+        found = np.array(pairs, dtype=np.int64).reshape(-1, 2)
+        per_entry = np.array([len(seen) for entries in tables for seen in entries], dtype=np.int64)
+        self.edges = np.concatenate([[0], np.cumsum(per_entry)])
+        self.languages = found[:, 0].astype(np.int32)
+        self.above = np.log(found[:, 1] + 0.5) - np.log(0.5)
+        self.table = np.repeat(np.arange(len(tables)), [len(entries) for entries in tables])
+        self.floors = np.zeros((len(tables), width))
+        for k, entries in enumerate(tables):
+            low, high = (self.edges[np.searchsorted(self.table, k, side)] for side in ("left", "right"))
+            totals = np.bincount(self.languages[low:high], found[low:high, 1], minlength=width)
+            self.floors[k] = np.log(0.5) - np.log(totals + 0.5 * len(entries) + 1)
+
+    def total(self, rows: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """Sum of the rows, each so many times, by language."""
+        starts, sizes = self.edges[rows], self.edges[rows + 1] - self.edges[rows]
+        at = np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+        above = np.bincount(self.languages[at], self.above[at] * np.repeat(times, sizes), minlength=self.floors.shape[1])
+        return above + np.bincount(self.table[rows], times, minlength=len(self.floors)) @ self.floors
+
+    def __getitem__(self, row: int) -> np.ndarray:
+        return self.total(np.array([row]), np.ones(1))
+
+
 class LanguageModel:
-    """Log frequencies: a row for each known word or n-gram, a column for each language."""
+    """Known words and n-grams by their row in the log frequencies."""
 
-    def __init__(self, languages: list[str], words: dict[str, int], grams: dict[str, int], logs: np.ndarray):
+    def __init__(self, languages: list[str], words: dict[str, int], grams: dict[str, int], logs: Logs):
         self.languages, self.words, self.grams, self.logs = languages, words, grams, logs
-        self.covers: dict[str, np.ndarray] = {}
+        self.covers: dict[str, list[int]] = {}
         self.longest = max(map(len, grams), default=0)
 
-    def _cover(self, word: str) -> np.ndarray:
+    def _cover(self, word: str) -> list[int]:
         known = self.covers.get(word)
         if known is None:
-            padded, at, rows = f"{EDGE}{word}{EDGE}", 0, []
+            padded, at, known = f"{EDGE}{word}{EDGE}", 0, []
             while at < len(padded):
                 for size in range(min(self.longest, len(padded) - at), 0, -1):
                     if (row := self.grams.get(padded[at : at + size])) is not None:
-                        rows.append(row)
+                        known.append(row)
                         at += size
                         break
                 else:
                     at += 1
-            known = self.logs[rows].sum(axis=0)
             if len(self.covers) >= REMEMBERED:
                 self.covers.clear()
             self.covers[word] = known
@@ -77,16 +111,13 @@ class LanguageModel:
             counts.update(WORD.findall(block.lower()))
         if not counts or not self.languages:
             return UNKNOWN, 0.0
-        total, rows, times = np.zeros(len(self.languages)), [], []
+        rows, times = [], []
         for word, n in counts.items():
             row = self.words.get(word)
-            if row is None:
-                total += n * self._cover(word)
-            else:
-                rows.append(row)
-                times.append(n)
-        if rows:
-            total += np.array(times, dtype=float) @ self.logs[rows]
+            found = self._cover(word) if row is None else [row]
+            rows += found
+            times += [n] * len(found)
+        total = self.logs.total(np.array(rows, dtype=np.int64), np.array(times, dtype=float))
         words = counts.total()
         total *= min(words, CERTAIN_AFTER) / words
         best = int(np.argmax(total))
@@ -116,13 +147,13 @@ def train(
 ) -> LanguageModel:
     """Learn from the rows of docs that have a text and a language."""
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")).dropna(subset=["text", "lang"])
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    languages = sorted(row["lang"] for row in sizes)
+    sizes = written(rows.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
+    languages = sorted(row["lang"] for row in sizes.select("lang").collect())  # names of languages, not of rows
     if not languages:
-        return LanguageModel([], {}, {}, np.zeros((0, 0)))
-    share = F.create_map(*[F.lit(x) for row in sizes for x in (row["lang"], min(1.0, rows_per_language / row["count"]))])
+        return LanguageModel([], {}, {}, Logs([], 0))
+    share = F.least(F.lit(1.0), F.lit(float(rows_per_language)) / F.col("rows"))
     draw = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / (1 << 30)
-    sample = rows.filter(F.coalesce(share[F.col("lang")], F.lit(0.0)) > draw)
+    sample = rows.join(sizes, "lang").filter(share > draw)
     words = sample.select("lang", F.explode(F.split(F.lower("text"), NO_WORD)).alias("entry")).filter(F.col("entry") != "")
     words = words.groupBy("lang", "entry").agg(F.count("*").alias("n")).persist()
     padded = F.concat(F.lit(EDGE), "entry", F.lit(EDGE))
@@ -133,21 +164,18 @@ def train(
     grams = pieces.groupBy("lang", F.expr("substring(word, at, size)").alias("entry")).agg(F.sum("n").alias("n"))
     found = [_top(frame, languages, max_entries) for frame in (words, grams)]
     words.unpersist()
-    tables, logs, offset = [], [], 0
-    for entries in found:
-        counts = np.array([row[1] for row in entries], dtype=float).reshape(len(entries), len(languages))
-        tables.append({row[0]: offset + k for k, row in enumerate(entries)})
-        logs.append(np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * len(entries) + 1)))
-        offset += len(entries)
-    return LanguageModel(languages, *tables, np.concatenate(logs))
+    known = {entry: k for k, (entry, _) in enumerate(found[0])}
+    pieces = {entry: len(known) + k for k, (entry, _) in enumerate(found[1])}
+    return LanguageModel(languages, known, pieces, Logs([[seen for _, seen in entries] for entries in found], len(languages)))
 
 
-def _top(counts: DataFrame, languages: list[str], most: int) -> list[tuple[str, list[int]]]:
+def _top(counts: DataFrame, languages: list[str], most: int) -> list[tuple[str, list[tuple[int, int]]]]:
     """The most frequent entries with their counts by language; those seen once only tell nothing."""
-    columns = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"c{k}") for k, x in enumerate(languages)]
-    table = counts.groupBy("entry").agg(F.sum("n").alias("n"), *columns).filter(F.col("n") > 1)
-    table = table.orderBy(F.desc("n"), "entry").limit(most)
-    return [(row[0], list(row[2:])) for row in table.collect()]
+    seen = F.array_sort(F.collect_list(F.struct("lang", "n"))).alias("seen")  # an element for each language at most
+    table = counts.groupBy("entry").agg(F.sum("n").alias("total"), seen).filter(F.col("total") > 1)
+    table = table.orderBy(F.desc("total"), "entry").limit(most)
+    place = {lang: k for k, lang in enumerate(languages)}
+    return [(row["entry"], [(place[x["lang"]], x["n"]) for x in row["seen"]]) for row in table.collect()]
 
 
 def predict_column(spark: SparkSession, model: LanguageModel, text: str) -> Column:
