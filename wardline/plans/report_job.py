@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from wardline.operators import features, narrative
 from wardline.operators.quality import GateError, dropped_rows, month_format, require_columns
 from wardline.schema import FILE_COLUMNS
-from wardline.sources.incident_files import list_paths, read_any_encoding
-from wardline.sources.records import MALFORMED
+from wardline.sources.incident_files import read_any_encoding
+from wardline.sources.records import MALFORMED, list_paths
 
 log = logging.getLogger(__name__)
 

@@ -80,12 +80,6 @@ def discover_files(
     )
 
 
-def list_paths(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
-    """Every file under the paths, opened or not, empty or not."""
-    listed = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
-    return [row[0] for row in listed.select("_metadata.file_path").collect()]
-
-
 def read_any_encoding(
     spark: SparkSession, paths: str | Sequence[str], encoding: str | None = None
 ) -> DataFrame:

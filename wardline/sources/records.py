@@ -17,6 +17,7 @@ longer than MOST_BYTES, as a quote that is never closed makes, is given by its f
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -162,10 +163,18 @@ class Scan:
         return parsed.select(*[F.col(f"_row.`{name}`") for name in names], wrong, "source_path")
 
 
+def list_paths(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """Every file under the paths as rows name it, also one of 0 bytes, which no reader hands on."""
+    files = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths)).inputFiles()
+    return sorted(re.sub(r"^(\w+):///", r"\1:/", name) for name in files)
+
+
 def scan(spark: SparkSession, paths: str | Sequence[str]) -> Scan:
     """Look at all files under the paths, each of which must exist; no file's content stops this."""
-    listed = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
-    listed = listed.select(F.col("_metadata.file_path").alias("source_path"), "length")
+    named = spark.createDataFrame([(path,) for path in list_paths(spark, paths)], "source_path string")
+    sized = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
+    sized = sized.select(F.col("_metadata.file_path").alias("source_path"), "length")
+    listed = named.join(sized, "source_path", "left").select("source_path", F.coalesce("length", F.lit(0)).alias("length"))
     lines = written(_lines(spark, paths), "lines")
     states = written(_block_states(lines), "block_states")
     filled = ~lines["value"].isin([F.lit(b""), F.lit(b"\r")])
