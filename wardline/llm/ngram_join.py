@@ -162,6 +162,17 @@ def _digest(found: np.ndarray) -> bytes:
     return xxhash.xxh128_digest(found.tobytes())
 
 
+def _new(texts: pa.Array, seen: set[bytes]) -> Iterator[str | None]:
+    """The texts that have not come before in the task, as far as it remembers."""
+    for x in texts:
+        raw = xxhash.xxh128_digest(x.as_buffer() or b"")
+        if raw not in seen:
+            if len(seen) >= SEEN:
+                seen.clear()
+            seen.add(raw)
+            yield x.as_py()
+
+
 def _row_sets(docs: DataFrame, id: str, text: str, words: int, least: Fraction) -> DataFrame:
     """(id, mark, digest, size, bits, keys) of every row: a hash of its text, its set's bitmap, and keys by hash alone.
 
@@ -172,11 +183,19 @@ def _row_sets(docs: DataFrame, id: str, text: str, words: int, least: Fraction)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
+        known: dict[bytes, tuple[bytes, int]] = {}  # digest and size by the digest of a text
         for batch in batches:
             rows = []
             for x in batch.column("text"):
+                raw = xxhash.xxh128_digest(x.as_buffer() or b"")
+                if raw in known:
+                    rows.append((*known[raw], None, None))
+                    continue
                 found = shingles(x.as_py(), words)
                 digest = _digest(found)
+                if len(known) >= SEEN:
+                    known.clear()
+                known[raw] = digest, len(found)
                 if digest in seen:
                     rows.append((digest, len(found), None, None))
                     continue
@@ -207,10 +226,11 @@ def _changed(docs: DataFrame, text: str, heavy: tuple[np.ndarray, np.ndarray], w
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late, counts = shared.value
+        seen: set[bytes] = set()
         for batch in batches:
             digests, keys = [], []
-            for x in batch.column("text"):
-                found = shingles(x.as_py(), words)
+            for text in _new(batch.column("text"), seen):
+                found = shingles(text, words)
                 first = prefix(found, none, none, least)
                 at = np.minimum(np.searchsorted(late, first), len(late) - 1)
                 if (late[at] == first).any():
@@ -373,9 +393,10 @@ class Sets:
         shared, words = self.docs.sparkSession.sparkContext.broadcast(marks), self.words
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: set[bytes] = set()
             for batch in batches:
                 chosen = batch.filter(pa.array(shared.value[batch.column("bucket").to_numpy()]))
-                sets = [shingles(x.as_py(), words) for x in chosen.column("text")]
+                sets = [shingles(text, words) for text in _new(chosen.column("text"), seen)]
                 arrays = [pa.array([_digest(x) for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["digest", "found"])
 
