@@ -458,10 +458,10 @@ def _families(lists: DataFrame, near: DataFrame | None, roots: DataFrame | None,
     return joined.select(*lists.columns, F.coalesce("root", "node").alias("root"), F.coalesce("lead", "node").alias("lead"), more.cast("bigint").alias("more"))
 
 
-def _block_pairs(rows: DataFrame, least: Fraction) -> DataFrame:
+def _block_pairs(rows: DataFrame, least: Fraction, done: int = 2) -> DataFrame:
     """(key, i, j, n): pairs of blocks of a list with rows to compare, and how many pairs of rows at most.
 
-    A block of two rows has been compared in the first round.
+    A block of two rows has been compared in the first round, so blocks of up to done rows are passed over.
     """
     per_root = rows.groupBy("key", "block", "root").agg(
         F.count("*").alias("rows"), F.min("size").alias("low"), F.max("size").alias("high"), F.max(F.col("size") - F.col("at")).alias("left")
@@ -476,7 +476,7 @@ def _block_pairs(rows: DataFrame, least: Fraction) -> DataFrame:
         F.max("left").alias("left"),
     )
     blocks = written(blocks, "blocks")
-    inside = blocks.filter("first < last and rows > 2")
+    inside = blocks.filter(f"first < last and rows > {done}")
     inside = inside.select("key", F.col("block").alias("i"), F.col("block").alias("j"), (F.col("rows") * (F.col("rows") - F.col("most"))).alias("n"))
     long = blocks.join(blocks.filter("block > 0").select("key").distinct(), "key", "left_semi")
     i, j = long.alias("i"), long.alias("j")
@@ -544,10 +544,13 @@ def links(nodes: DataFrame, keyed: DataFrame, source: Sets, least: Fraction = LE
     found = answers.filter(_is_link(least))
     near = near.unionByName(found.select(*near.columns))
     unsure = answers.filter(~_is_link(least) & ((F.col("both") >= F.col("short")))).select("a", "b")
+    unsure = written(unsure, "unsure")
     if unsure.isEmpty():
         return near
-    # relatives of those are compared themselves
-    again = _dealt(rows.withColumn("lead", F.col("node")).withColumn("more", F.lit(0).cast("bigint")), _block_pairs(rows, least), maps)
+    # relatives of those are compared themselves; blocks of whom only two are left may have had more before
+    ends = unsure.select(F.explode(F.array("a", "b")).alias("lead")).distinct()
+    some = rows.join(ends, "lead", "left_semi").select(*rows.columns)
+    again = _dealt(some.withColumn("lead", F.col("node")).withColumn("more", F.lit(0).cast("bigint")), _block_pairs(some, least, 1), maps)
     members = again.mapInArrow(_across(least), ", ".join(f"{n} bigint" for n in FOUND)).select("a", "b").distinct()
     leads = rows.select("node", "lead").distinct()
     one, two = (leads.select(F.col("node").alias(n), F.col("lead").alias(f"{n}_lead")) for n in "ab")
