@@ -35,8 +35,8 @@ MAX_ENTRIES = 150_000
 MAX_GRAM = 5
 # Words after which more of them no longer make a prediction more certain.
 CERTAIN_AFTER = 12
-# Unseen words whose cover a worker remembers.
-REMEMBERED = 50_000
+# Numbers that a worker remembers of unseen words, one a language for each word.
+REMEMBERED = 2_000_000
 # Code points of a text looked at once.
 BLOCK = 1 << 20
 
@@ -84,22 +84,23 @@ class LanguageModel:
 
     def __init__(self, languages: list[str], words: dict[str, int], grams: dict[str, int], logs: Logs):
         self.languages, self.words, self.grams, self.logs = languages, words, grams, logs
-        self.covers: dict[str, list[int]] = {}
+        self.covers: dict[str, np.ndarray] = {}
         self.longest = max(map(len, grams), default=0)
 
-    def _cover(self, word: str) -> list[int]:
+    def _cover(self, word: str) -> np.ndarray:
         known = self.covers.get(word)
         if known is None:
-            padded, at, known = f"{EDGE}{word}{EDGE}", 0, []
+            padded, at, rows = f"{EDGE}{word}{EDGE}", 0, []
             while at < len(padded):
                 for size in range(min(self.longest, len(padded) - at), 0, -1):
                     if (row := self.grams.get(padded[at : at + size])) is not None:
-                        known.append(row)
+                        rows.append(row)
                         at += size
                         break
                 else:
                     at += 1
-            if len(self.covers) >= REMEMBERED:
+            known = self.logs.total(np.array(rows, dtype=np.int64), np.ones(len(rows)))
+            if len(self.covers) * len(known) >= REMEMBERED:
                 self.covers.clear()
             self.covers[word] = known
         return known
@@ -111,13 +112,16 @@ class LanguageModel:
             counts.update(WORD.findall(block.lower()))
         if not counts or not self.languages:
             return UNKNOWN, 0.0
-        rows, times = [], []
+        total, rows, times = np.zeros(len(self.languages)), [], []
         for word, n in counts.items():
             row = self.words.get(word)
-            found = self._cover(word) if row is None else [row]
-            rows += found
-            times += [n] * len(found)
-        total = self.logs.total(np.array(rows, dtype=np.int64), np.array(times, dtype=float))
+            if row is None:
+                total += n * self._cover(word)
+            else:
+                rows.append(row)
+                times.append(n)
+        if rows:
+            total += self.logs.total(np.array(rows, dtype=np.int64), np.array(times, dtype=float))
         words = counts.total()
         total *= min(words, CERTAIN_AFTER) / words
         best = int(np.argmax(total))
