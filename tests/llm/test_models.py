@@ -1,6 +1,7 @@
 """Held-out accuracy and edge cases of the two learned models."""
 
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -72,6 +73,18 @@ def test_model_size_is_bounded(spark):
     assert len(taught.words) == 10 and len(taught.grams) == 10 and "common" in taught.words
 
 
+def test_the_driver_learns_from_arrays(spark):
+    """What train() holds in Python grows by numbers, not by objects: 2,000 words, each seen in 30 languages."""
+    text = " ".join(f"{chr(97 + k // 676)}{chr(97 + k // 26 % 26)}{chr(97 + k % 26)}" for k in range(2000))
+    frame = spark.createDataFrame([(i, text, f"l{i:02}") for i in range(30)], "doc_id bigint, text string, lang string")
+    tracemalloc.start()
+    taught = language_id.train(frame, "doc_id", "text", "lang")
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(taught.logs.languages) > 60_000 and len(taught.words) == 2000
+    assert peak < 200 * len(taught.logs.languages)
+
+
 def test_language_query_on_awkward_documents(spark, docs, no_docs, store):
     rows = queries.op2_language_id(spark, store(documents=docs)).collect()
     assert len(rows) == docs.count() and not any(r["held_out"] is None for r in rows)

@@ -20,9 +20,11 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,26 +49,31 @@ NO_WORD = r"[^\p{L}\p{M}]+"
 EDGE = "_"
 
 
+@dataclass
+class Table:
+    """Entries; for each in how many languages it was seen, and for each of those its number and the count, as numbers."""
+
+    entries: list[str]
+    sizes: np.ndarray
+    languages: np.ndarray
+    counts: np.ndarray
+
+
 class Logs:
     """Log frequencies by entry (a known word or n-gram) and language, stored for the languages an entry was seen in.
 
     Everywhere else an entry has its table's floor for that language.
     """
 
-    def __init__(self, tables: list[list[list[tuple[int, int]]]], width: int):
-        """tables: for each, and each of its entries, pairs of language and count."""
-        pairs = [pair for entries in tables for seen in entries for pair in seen]
-        found = np.array(pairs, dtype=np.int64).reshape(-1, 2)
-        per_entry = np.array([len(seen) for entries in tables for seen in entries], dtype=np.int64)
-        self.edges = np.concatenate([[0], np.cumsum(per_entry)])
-        self.languages = found[:, 0].astype(np.int32)
-        self.above = np.log(found[:, 1] + 0.5) - np.log(0.5)
-        self.table = np.repeat(np.arange(len(tables)), [len(entries) for entries in tables])
+    def __init__(self, tables: list[Table], width: int):
+        self.edges = np.concatenate([[0], np.cumsum(np.concatenate([[], *[t.sizes for t in tables]]))]).astype(np.int64)
+        self.languages = np.concatenate([np.zeros(0, np.int32), *[t.languages for t in tables]])
+        self.above = np.concatenate([np.zeros(0), *[np.log(t.counts + 0.5) - np.log(0.5) for t in tables]])
+        self.table = np.repeat(np.arange(len(tables)), [len(t.entries) for t in tables])
         self.floors = np.zeros((len(tables), width))
-        for k, entries in enumerate(tables):
-            low, high = (self.edges[np.searchsorted(self.table, k, side)] for side in ("left", "right"))
-            totals = np.bincount(self.languages[low:high], found[low:high, 1], minlength=width)
-            self.floors[k] = np.log(0.5) - np.log(totals + 0.5 * len(entries) + 1)
+        for k, t in enumerate(tables):
+            totals = np.bincount(t.languages, t.counts, minlength=width)
+            self.floors[k] = np.log(0.5) - np.log(totals + 0.5 * len(t.entries) + 1)
 
     def total(self, rows: np.ndarray, times: np.ndarray) -> np.ndarray:
         """Sum of the rows, each so many times, by language."""
@@ -168,18 +175,24 @@ def train(
     grams = pieces.groupBy("lang", F.expr("substring(word, at, size)").alias("entry")).agg(F.sum("n").alias("n"))
     found = [_top(frame, languages, max_entries) for frame in (words, grams)]
     words.unpersist()
-    known = {entry: k for k, (entry, _) in enumerate(found[0])}
-    pieces = {entry: len(known) + k for k, (entry, _) in enumerate(found[1])}
-    return LanguageModel(languages, known, pieces, Logs([[seen for _, seen in entries] for entries in found], len(languages)))
+    known = {entry: k for k, entry in enumerate(found[0].entries)}
+    pieces = {entry: len(known) + k for k, entry in enumerate(found[1].entries)}
+    return LanguageModel(languages, known, pieces, Logs(found, len(languages)))
 
 
-def _top(counts: DataFrame, languages: list[str], most: int) -> list[tuple[str, list[tuple[int, int]]]]:
-    """The most frequent entries with their counts by language; those seen once only tell nothing."""
+def _top(counts: DataFrame, languages: list[str], most: int) -> Table:
+    """The most frequent entries with their counts by language; those seen once only tell nothing.
+
+    They come to the driver as arrays of numbers: a Python object for each count would be most of its memory.
+    """
     seen = F.array_sort(F.collect_list(F.struct("lang", "n"))).alias("seen")  # an element for each language at most
     table = counts.groupBy("entry").agg(F.sum("n").alias("total"), seen).filter(F.col("total") > 1)
     table = table.orderBy(F.desc("total"), "entry").limit(most)
-    place = {lang: k for k, lang in enumerate(languages)}
-    return [(row["entry"], [(place[x["lang"]], x["n"]) for x in row["seen"]]) for row in table.collect()]
+    found = table.select("entry", F.col("seen.lang").alias("langs"), F.col("seen.n").alias("counts")).toArrow()
+    langs, n = (found[name].combine_chunks() for name in ("langs", "counts"))
+    places = pc.index_in(langs.flatten(), pa.array(languages, pa.string()))
+    sizes = pc.list_value_length(langs)
+    return Table(found["entry"].to_pylist(), sizes.to_numpy(), places.to_numpy().astype(np.int32), n.flatten().to_numpy())
 
 
 def predict_column(spark: SparkSession, model: LanguageModel, text: str) -> Column:
