@@ -212,3 +212,19 @@ def test_discovery_prefers_exact_names(spark, tmp_path):
     }
     scanned = discover_files(spark, str(tmp_path / "d"))._jdf.queryExecution().executedPlan().toString()
     assert "content" not in scanned
+
+
+def test_shuffles_of_a_large_batch_begin_with_more_partitions(spark, monkeypatch):
+    monkeypatch.setattr("wardline.session.ROWS_PER_PARTITION", 50)
+    key, seen, inner = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", [], incremental.repeated_keys
+
+    def watched(*frames):
+        seen.append(spark.conf.get(key, None))
+        return inner(*frames)
+
+    monkeypatch.setattr(incremental, "repeated_keys", watched)
+    batch = spark.range(1000).select(F.concat(F.lit("k"), F.col("id") % 700).alias("crime_id"), F.lit("2026-01").alias("month"), F.lit("north").alias("force"))
+    found = incremental.new_rows(batch, batch.where("crime_id < 'k5'"))
+    assert found.count() == batch.where("crime_id >= 'k5'").count() > 0
+    assert incremental.new_rows(batch.limit(60), batch.limit(10)).count() == 50
+    assert seen == ["20", None] and spark.conf.get(key, None) is None

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.schema import ROW_KEY
-from wardline.session import written
+from wardline.session import spread, written
 
 PAIR = ("force", "month")
 
@@ -65,14 +65,16 @@ def new_rows(
     are compared, made distinct before the shuffle on both sides. The repeated keys, each once, are written
     to the shared folder: so the planner knows how many there are, sends few to every task, and for many
     shuffles both sides anew, where adaptive execution splits a hot key of the batch. Rows without an ID
-    stay out of the join.
+    stay out of the join. The shuffles of a large batch have as many partitions as its rows ask for.
 
     pairs are the batch's (force, month), if the caller has them already.
     """
     # Keys, repeats and both kinds of rows are taken from it: computed once.
     batch = written(batch, "batch")
     known = of_pairs(existing, touched_pairs(batch if pairs is None else pairs)).where(F.col("crime_id").isNotNull())
-    return rows_without(batch, known.select(*ROW_KEY).distinct(), dedupe_within_batch)
+    with spread(batch.sparkSession, batch.count()) as raised:
+        fresh = rows_without(batch, known.select(*ROW_KEY).distinct(), dedupe_within_batch)
+        return written(fresh, "fresh") if raised else fresh
 
 
 def rows_without(batch: DataFrame, known: DataFrame, dedupe_within_batch: bool = False) -> DataFrame:
