@@ -1,5 +1,7 @@
 """Reading incident files and loading them into the raw table."""
 
+import uuid
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from wardline.operators import incremental
 from wardline.operators.quality import file_verdicts
 from wardline.schema import CATEGORIES, RAW_COLUMNS
 from wardline.sources.incident_files import MALFORMED, discover_files, read_files, to_raw
+from wardline.sources.warehouse import Warehouse
 
 
 def load(warehouse, path, force, load_id):
@@ -214,6 +217,23 @@ def test_discovery_prefers_exact_names(spark, tmp_path):
     assert "content" not in scanned
 
 
+def test_keys_of_one_bucket_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """Files are named by the task that wrote them: one file a month and bucket, but not one task for all months."""
+    monkeypatch.setattr("wardline.sources.warehouse.ROWS_PER_PARTITION", 20)
+    house = Warehouse(spark, str(tmp_path / "tables"), f"t{uuid.uuid4().hex[:8]}_", buckets=1)
+    house.initialise()
+    rows = spark.range(480).select(
+        *[F.lit(None).cast(kind).alias(name) for name, kind in RAW_COLUMNS.items() if name not in ("crime_id", "month", "force", "load_id")],
+        F.concat(F.lit("k"), "id").alias("crime_id"),
+        F.format_string("2026-%02d", F.col("id") % 12 + 1).alias("month"),
+        F.lit("north").alias("force"),
+    )
+    assert house.load(rows, "all").inserted == 480
+    files = [(r["key_month"], r["name"].split("-")[1]) for r in house.keys().select("key_month", F.col("_metadata.file_name").alias("name")).distinct().collect()]
+    assert len(files) == 12 and len({task for _, task in files}) > 3
+    assert house.load(rows, "again").inserted == 0
+
+
 def test_shuffles_of_a_large_batch_begin_with_more_partitions(spark, monkeypatch):
     monkeypatch.setattr("wardline.session.ROWS_PER_PARTITION", 50)
     key, seen, inner = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", [], incremental.repeated_keys

@@ -24,7 +24,7 @@ from wardline.operators.cube import added_cubes, incident_cube
 from wardline.operators.incremental import PAIR, first_files, rows_without
 from wardline.operators.staging import clean, stage
 from wardline.schema import RAW_COLUMNS, RAW_PARTITIONS, ROW_KEY
-from wardline.session import written
+from wardline.session import ROWS_PER_PARTITION, spread, written
 from wardline.sources import marks
 from wardline.sources.versions import ConflictError, Versions  # noqa: F401  (callers catch the first)
 
@@ -202,6 +202,13 @@ class Warehouse:
         stored = [name for name in RAW_COLUMNS if name not in RAW_PARTITIONS]
         loose = [name for name in RAW_PARTITIONS if name != "load_id"]
         batch = written(batch.select(*stored, *loose, *([file_order] if file_order else [])), "batch")
+        with spread(batch.sparkSession, size := batch.count()):
+            return self._store(batch, size, stored, loose, load_id, dedupe_within_batch, file_order)
+
+    def _store(
+        self, batch: DataFrame, size: int, stored: list[str], loose: list[str], load_id: str, dedupe_within_batch: bool, file_order: str | None
+    ) -> Load:
+        """Compare a written batch of so many rows with the keys and write what is new of it."""
         if file_order is not None:
             batch = first_files(batch, file_order).drop(file_order)
         # As many as forces and months.
@@ -223,7 +230,9 @@ class Warehouse:
         own = self.spark.table(table).where(F.col("load_id") == part)
         keys = own.where(F.col("crime_id").isNotNull()).select(*ROW_KEY).distinct()
         count = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        keys = keys.repartition(count, *ROW_KEY).select(*ROW_KEY, F.lit(part).alias("load_id"), F.col("month").alias("key_month"))
+        # All keys of a month and bucket meet in one task, for one file; no task has to hold a bucket's keys of all months.
+        tasks = max(count, -(-size // ROWS_PER_PARTITION))
+        keys = keys.repartition(tasks, "month", F.pmod(F.hash(*ROW_KEY), F.lit(count))).select(*ROW_KEY, F.lit(part).alias("load_id"), F.col("month").alias("key_month"))
         with _replacing_partitions(self.spark):
             keys.write.mode("overwrite").insertInto(self._name("raw", "incident_keys"))
         filled = [(row["force"], row["month"]) for row in own.select(*PAIR).distinct().collect()]
