@@ -10,6 +10,7 @@ from tests.conftest import sample_rows, write_csv
 from wardline.operators import incremental
 from wardline.operators.quality import file_verdicts
 from wardline.schema import CATEGORIES, RAW_COLUMNS
+from wardline.session import written
 from wardline.sources.incident_files import MALFORMED, discover_files, read_files, to_raw
 from wardline.sources.warehouse import Warehouse
 
@@ -248,3 +249,16 @@ def test_shuffles_of_a_large_batch_begin_with_more_partitions(spark, monkeypatch
     assert found.count() == batch.where("crime_id >= 'k5'").count() > 0
     assert incremental.new_rows(batch.limit(60), batch.limit(10)).count() == 50
     assert seen == ["20", None] and spark.conf.get(key, None) is None
+
+
+def test_shuffle_files_of_a_written_frame_go_at_once(spark):
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(",")
+        return {name.rsplit("/", 1)[-1] for name in found.split(",") if "/shuffle_" in name}
+
+    before = files()
+    rows = written(spark.range(10_000).groupBy((F.col("id") % 7).alias("k")).count(), "counted")
+    assert rows.count() == 7
+    counted = files() - before  # those of the count above, which is no written frame, are one row a task
+    shuffles = {name.split("_")[1] for name in counted}
+    assert len(shuffles) <= 1
