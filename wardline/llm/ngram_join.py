@@ -53,8 +53,9 @@ RELATED = Fraction(9, 10)
 LANES = 4
 FINE = 2048
 BUCKETS = 1 << 20
-# Pairs of rows that are tested at once, bytes of a text that are hashed at once, and digests a task remembers.
+# Pairs of rows that are tested at once, 64-bit words of their bitmaps, bytes of a text that are hashed at once, and digests a task remembers.
 PAIRS = 100_000
+WORDS_AT_ONCE = 1 << 18
 PART = 1 << 20
 SEEN = 50_000
 
@@ -150,7 +151,7 @@ def apart(bits: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
     sizes = np.fromiter(map(len, bits), np.int64, len(bits)) // 8
     for one, two in np.unique(np.stack([sizes[p], sizes[q]]), axis=1).T.tolist():
         at, lanes = np.flatnonzero((sizes[p] == one) & (sizes[q] == two)), min(one, two)
-        for low in range(0, len(at), step := max(1, (1 << 21) // max(one, two))):
+        for low in range(0, len(at), step := max(1, WORDS_AT_ONCE // max(one, two))):
             part = at[low : low + step]
             (a, i), (b, j) = (np.unique(x[part], return_inverse=True) for x in (p, q))
             differ = _lanes(bits[a], lanes)[i] ^ _lanes(bits[b], lanes)[j]
@@ -406,7 +407,11 @@ class Sets:
 
 
 def _shared(pairs: DataFrame, source: Sets) -> DataFrame:
-    """pairs with both, the exact number of common shingles, and total, the sizes of a and b together."""
+    """pairs with both, the exact number of common shingles, and total, the sizes of a and b together.
+
+    Sets are compared once: a filter on the result of a deterministic function would be pushed below it with a second call,
+    and that with a second Python worker for each task.
+    """
 
     @F.arrow_udf("struct<both:bigint,total:bigint>")
     def compared(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -421,7 +426,7 @@ def _shared(pairs: DataFrame, source: Sets) -> DataFrame:
 
     sets = source.of(pairs)
     one, two = (sets.select(F.col("node").alias(n), F.col("found").alias(f"{n}_set")) for n in "ab")
-    joined = pairs.join(one, "a").join(two, "b").withColumn("x", compared("a_set", "b_set"))
+    joined = pairs.join(one, "a").join(two, "b").withColumn("x", compared.asNondeterministic()("a_set", "b_set"))
     return joined.select(*pairs.columns, "x.both", "x.total")
 
 
