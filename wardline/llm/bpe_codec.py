@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 BLOCK = 1 << 18
 # Slices of several tokens whose ids a worker keeps; beyond that it forgets those not used lately.
 CACHED_SLICES = 200_000
-# Bytes up to which a slice is merged by looking at all its pairs again; longer ones need a heap.
+# Bytes up to which a slice is merged by looking at all its pairs again (64 at most); longer ones need a heap.
 SHORT = 40
 NO_RANK = 1 << 40
 
@@ -154,14 +154,40 @@ def boundaries(text: str, starts: np.ndarray, block: int = BLOCK) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
 
 
+class Pairs:
+    """Rank of what two tokens make together, for many pairs at once."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        splits = array("q")
+        for token, rank in ranks.items():
+            for k in range(1, len(token)):
+                if (one := ranks.get(token[:k])) is not None and (two := ranks.get(token[k:])) is not None:
+                    splits.extend((one, two, rank))
+        found = np.array(splits, dtype=np.int64).reshape(-1, 3)
+        self.base = max(ranks.values(), default=0) + 1
+        keys = found[:, 0] * self.base + found[:, 1]
+        order = np.argsort(keys)
+        self.keys, self.ranks = np.append(keys[order], 1 << 60), np.append(found[order, 2], NO_RANK)
+
+    def __call__(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """NO_RANK for two tokens that make none."""
+        wanted = one * self.base + two
+        at = np.searchsorted(self.keys, wanted)
+        return np.where(self.keys[at] == wanted, self.ranks[at], NO_RANK)
+
+
 class Merges:
     """Ids of slices already merged: slice -> slot, and for each slot its ids' place in one flat array.
 
     A slice that is one token needs no slot: the vocabulary has it. A full memory keeps what was used since the last time.
+    New slices of up to SHORT bytes are merged together, one pair of each a round.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
+        letters = [ranks.get(bytes([k]), -1) for k in range(256)]
+        self.letters = np.array(letters, dtype=np.int64) if -1 not in letters else None  # else slices are merged one by one
+        self.pairs = Pairs(ranks)
         self._begin([], [])
 
     def _begin(self, pieces: list[bytes], ids: list[tuple[int, ...]]) -> None:
@@ -186,25 +212,64 @@ class Merges:
         if len(self.slots) > CACHED_SLICES or len(self.ids) > 8 * CACHED_SLICES:
             self._forget()
         slots, ranks = self.slots, self.ranks
-        for piece in set(pieces).difference(slots, ranks):
-            slots[piece] = len(slots)
-            self.ids.extend(self._ids(piece))
-            self.first.append(len(self.ids))
+        self._add(set(pieces).difference(slots, ranks))
         single = np.fromiter(map(ranks.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
         many = np.flatnonzero(single < 0)
         at = np.fromiter(map(slots.__getitem__, map(pieces.__getitem__, many.tolist())), dtype=np.int64, count=len(many))
         if len(self.used) < len(slots):
             self.used = np.concatenate([self.used, np.zeros(len(slots) - len(self.used), dtype=bool)])
         self.used[at] = True
-        first = np.array(self.first, dtype=np.int64)
+        first, known = np.frombuffer(self.first, np.int64), np.frombuffer(self.ids, np.int32)
         sizes = np.ones(len(pieces), dtype=np.int64)
         sizes[many] = first[at + 1] - first[at]
         begin = np.cumsum(sizes) - sizes
         out = np.empty(int(sizes.sum()), dtype=np.int32)
         out[begin] = single
-        out[ranges(begin[many], sizes[many])] = np.array(self.ids, dtype=np.int32)[ranges(first[at], sizes[many])]
+        out[ranges(begin[many], sizes[many])] = known[ranges(first[at], sizes[many])]
         return out, sizes
 
+    def _add(self, pieces: set[bytes]) -> None:
+        most = SHORT if self.letters is not None else 0
+        short = [piece for piece in pieces if len(piece) <= most]
+        long = [piece for piece in pieces if len(piece) > most]
+        self.slots.update(zip([*short, *long], range(len(self.slots), len(self.slots) + len(pieces)), strict=True))
+        if short:
+            ids, sizes = self._together(short)
+            self.first.frombytes((len(self.ids) + np.cumsum(sizes)).tobytes())
+            self.ids.frombytes(ids.astype(np.int32).tobytes())
+        for piece in long:
+            self.ids.extend(self._ids(piece))
+            self.first.append(len(self.ids))
+
+    def _together(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces in a row, how many each piece has). Parts are linked lists over the places of their first bytes."""
+        lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        stops = np.cumsum(lengths)
+        starts, end = stops - lengths, int(stops[-1])
+        within = np.arange(end) - np.repeat(starts, lengths)  # place in the own piece
+        part = self.letters[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
+        after, before = np.arange(1, end + 1), np.arange(-1, end)
+        after[stops - 1], before[starts] = end, -1
+        # Rank of each part with the next one, then its place: the least is the leftmost of those with the lowest rank.
+        first = np.full(end, NO_RANK << 6)
+        first[:-1] = (self.pairs(part[:-1], part[1:]) << 6) + within[:-1]
+        first[stops - 1] = NO_RANK << 6
+        alive, left = np.ones(end, dtype=bool), starts
+        while len(left):
+            least = np.minimum.reduceat(first, left)  # pieces that are done have no pair, so they may lie between
+            some = least < NO_RANK << 6
+            left, least = left[some], least[some]
+            at, made = left + (least & 63), least >> 6
+            gone = after[at]
+            follow = after[gone]
+            part[at], after[at], before[follow] = made, follow, at
+            first[gone], alive[gone], first[at] = NO_RANK << 6, False, NO_RANK << 6
+            inner, ahead = follow < end, before[at]
+            behind = ahead >= 0
+            one, two = np.concatenate([at[inner], ahead[behind]]), np.concatenate([follow[inner], at[behind]])
+            first[one] = (self.pairs(part[one], part[two]) << 6) + within[one]
+        return part[alive], np.add.reduceat(alive, starts, dtype=np.int64)
+
     def _ids(self, data: bytes) -> tuple[int, ...]:
         """Merge by rank, the lowest first and of equal ones the leftmost; a known slice is one token."""
         ranks, n = self.ranks, len(data)
