@@ -406,6 +406,15 @@ class BpeUdfs:
                 both = [lists(begin, found), lists(begin, codec.offsets(found, begin))]
                 yield pa.StructArray.from_arrays(both, names=["ids", "offsets"])
 
+        @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
+        def both_ways(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            codec = _codec(digest, shared.value)
+            for texts in (texts for batch in batches for texts in groups(batch)):
+                found, begin = codec.encode(texts)
+                own = lists(begin, found)
+                decoded = _decoded(codec, own, lists(begin, codec.offsets(found, begin)))
+                yield pa.StructArray.from_arrays([own, decoded], names=["ids", "decoded"])
+
         @F.arrow_udf("array<int>")
         def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             codec = _codec(digest, shared.value)
@@ -427,12 +436,19 @@ class BpeUdfs:
                 for k in range(0, len(lists), 64):
                     yield _decoded(codec, lists[k : k + 64], offsets[k : k + 64])
 
-        self._encode, self._ids, self._decode, self._placed = encode, ids, decode, placed
+        self._encode, self._ids, self._decode, self._placed, self._both_ways = encode, ids, decode, placed, both_ways
 
     def encode(self, text: Column | str) -> Column:
         """Struct of ids and offsets (each token's first byte within the text)."""
         return self._encode(F.coalesce(text if isinstance(text, Column) else F.col(text), F.lit("")))
 
+    def both_ways(self, text: Column | str) -> Column:
+        """Struct of ids and decoded, the bytes that those ids stand for, each id's put where its offset says.
+
+        Both come from one worker of a task; encode() and decode_at() in a row need two.
+        """
+        return self._both_ways(F.coalesce(text if isinstance(text, Column) else F.col(text), F.lit("")))
+
     def ids(self, text: Column | str) -> Column:
         """The ids alone, where offsets are not needed."""
         return self._ids(F.coalesce(text if isinstance(text, Column) else F.col(text), F.lit("")))
