@@ -5,7 +5,7 @@ smallest hashes, counted over all of them, come last, the others by hash. Two se
 first n - ceil(LEAST * n) + 1 of each (n is the set's size), so the sets of an inverted list, one for each such shingle,
 hold every pair that links.
 
-Lists are sorted by size and position and cut into blocks. Two blocks are compared only if their sizes, and what their
+A list of two sets is one pair, compared and done. Longer lists are sorted by size and position and cut into blocks. Two blocks are compared only if their sizes, and what their
 sets have left behind their positions, can reach LEAST; other pairs of blocks are skipped whole. A pair of blocks is
 one task's work, so a list that holds very many sets is dealt to many tasks.
 
@@ -245,13 +245,18 @@ def _changed(docs: DataFrame, text: str, heavy: tuple[np.ndarray, np.ndarray], w
 
 
 ROW = {"key": pa.int64(), "node": pa.int64(), "size": pa.int32(), "at": pa.int32()}
+MATE = ["node", "size", "at"]
+LISTS = "key bigint, node bigint, size int, at int, block int, mate_node bigint, mate_size int, mate_at int"
 
 
 def _cut(block: int) -> Callable:
-    """Rows come sorted by key, size and position; those that share their key go on, with the number of their block."""
+    """Rows come sorted by key, size and position; those that share their key go on, with the number of their block.
+
+    Two rows that have a key for themselves go on as one, the second as the mate of the first.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, index = None, 0  # the row before, and how many rows of its key came before it
+        held, index = None, 0  # the last rows, all of one key, and how many of that key have gone on before
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -261,20 +266,35 @@ def _cut(block: int) -> Callable:
                 rows = {n: np.concatenate([held[n], x]) for n, x in rows.items()}
             key = rows["key"]
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            place = np.arange(len(key)) - np.repeat(starts, np.diff(np.append(starts, len(key))))
-            place[: starts[1] if len(starts) > 1 else len(key)] += index
-            kept = (place[:-1] > 0) | (key[1:] == key[:-1])
-            yield _batch({n: x[:-1][kept] for n, x in rows.items()}, place[:-1][kept] // block)
-            held, index = {n: x[-1:] for n, x in rows.items()}, int(place[-1])
-        if held is not None and index:
-            yield _batch(held, np.array([index // block]))
+            counts = np.diff(np.append(starts, len(key)))
+            place = np.arange(len(key)) - np.repeat(starts, counts)
+            place[: counts[0]] += index
+            counts[0] += index
+            many = np.repeat(counts > 2, np.diff(np.append(starts, len(key))))
+            # the last key may go on: its rows wait while they are two at most, else only the last of them
+            waiting = 1 if counts[-1] > 2 else int(counts[-1])
+            many[-waiting:] = False
+            at = np.sort(np.concatenate([np.flatnonzero(many), starts[:-1][counts[:-1] == 2]]))
+            yield _batch(rows, at, place[at] // block, ~many[at])
+            held, index = {n: x[-waiting:] for n, x in rows.items()}, int(place[-waiting])
+        if held is not None and (index or len(held["key"]) == 2):
+            yield _batch(held, np.array([0]), np.array([index // block]), np.array([not index]))
 
     return run
 
 
-def _batch(rows: dict[str, np.ndarray], block: np.ndarray) -> pa.RecordBatch:
-    arrays = [pa.array(rows[n], kind) for n, kind in ROW.items()]
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(block, pa.int32())], names=[*ROW, "block"])
+def _batch(rows: dict[str, np.ndarray], at: np.ndarray, block: np.ndarray, mated: np.ndarray) -> pa.RecordBatch:
+    """The rows at these places; the mated ones with the row after them."""
+    arrays = [pa.array(rows[n][at], kind) for n, kind in ROW.items()]
+    mates = [pa.array(rows[n][at + mated], ROW[n], mask=~mated) for n in MATE]
+    return pa.RecordBatch.from_arrays([*arrays, pa.array(block, pa.int32()), *mates], names=[*ROW, "block", *[f"mate_{n}" for n in MATE]])
+
+
+def _twos(lists: DataFrame, least: Fraction) -> DataFrame:
+    """(a, b) of the lists of two rows, if they can link; they need no comparison but this one."""
+    left = F.least(F.col("size") - F.col("at"), F.col("mate_size") - F.col("mate_at")) * (least.numerator + least.denominator)
+    near = lists.filter(F.col("mate_node").isNotNull() & (left >= (F.col("size") + F.col("mate_size")) * least.numerator))
+    return near.select(F.least("node", "mate_node").alias("a"), F.greatest("node", "mate_node").alias("b")).distinct()
 
 
 def _groups(batches: Iterator[pa.RecordBatch], by: list[str], names: list[str]) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
@@ -466,10 +486,12 @@ def _families(lists: DataFrame, near: DataFrame | None, roots: DataFrame | None,
 def _block_pairs(rows: DataFrame, least: Fraction, done: int = 2) -> DataFrame:
     """(key, i, j, n): pairs of blocks of a list with rows to compare, and how many pairs of rows at most.
 
-    A block of two rows has been compared in the first round, so blocks of up to done rows are passed over.
+    A block of two rows has been compared in the first round, so blocks of up to done rows are passed over. Rows move
+    once, by block; both groupings keep that partitioning.
     """
-    per_root = rows.groupBy("key", "block", "root").agg(
-        F.count("*").alias("rows"), F.min("size").alias("low"), F.max("size").alias("high"), F.max(F.col("size") - F.col("at")).alias("left")
+    moved = rows.select("key", "block", "root", "size", (F.col("size") - F.col("at")).alias("left")).repartition("key", "block")
+    per_root = moved.groupBy("key", "block", "root").agg(
+        F.count("*").alias("rows"), F.min("size").alias("low"), F.max("size").alias("high"), F.max("left").alias("left")
     )
     blocks = per_root.groupBy("key", "block").agg(
         F.sum("rows").alias("rows"),
@@ -515,33 +537,36 @@ def links(nodes: DataFrame, keyed: DataFrame, source: Sets, least: Fraction = LE
     # size and position in one number, which sorts as both
     rows = rows.select("key", "node", (F.col("size").cast("bigint") * (1 << 32) + F.col("at")).alias("place"))
     dealt = rows.repartition("key").sortWithinPartitions("key", "place")
-    lists = written(dealt.mapInArrow(_cut(block), "key bigint, node bigint, size int, at int, block int"), "lists")
-    total = lists.count()
-    if not total:
+    lists = written(dealt.mapInArrow(_cut(block), LISTS), "lists")
+    if lists.isEmpty():
         return None
-    maps = written(nodes.join(lists.select("node").distinct(), "node", "left_semi").select("node", "size", "bits"), "bitmaps")
+    twos = written(_twos(lists, least), "twos")
+    lists = lists.filter("mate_node is null").select(*ROW, "block")  # from here on, lists of three rows and more
+    total = lists.count()
+    ends = lists.select("node").union(twos.select("a")).union(twos.select("b")).distinct()
+    maps = written(nodes.join(ends, "node", "left_semi").select("node", "size", "bits"), "bitmaps")
     near = roots = before = None
-    for turn in range(ROUNDS):
+    for turn in range(ROUNDS + 1):
         rows = _families(lists, near, roots, least)
         if turn:
+            rows = written(rows, "families")
             open_blocks = written(_block_pairs(rows, least), "open_blocks")
             left = open_blocks.agg(F.sum("n")).first()[0] or 0
             if not left:
                 return near
-            if left <= MANY * total or (before and left > before * LESS):
+            if turn == ROUNDS or left <= MANY * total or (before and left > before * LESS):
                 break
             before = left
-            rows = rows.join(open_blocks.filter("i = j").select("key", F.col("i").alias("block")), ["key", "block"], "left_semi")
         # One set leads many lists at first; later each list has its own, so that a set is compared with many.
         order = F.xxhash64("node", "key", F.lit(turn)) if turn else F.xxhash64("node")
         sorted_rows = rows.repartition("key", "block").sortWithinPartitions("key", "block", order)
-        pairs = sorted_rows.mapInArrow(_with_one(least), "a bigint, b bigint").distinct()
+        pairs = sorted_rows.mapInArrow(_with_one(least), "a bigint, b bigint")
+        pairs = (pairs if turn else pairs.union(twos)).distinct()
         found = _shared(written(_bounded(pairs, maps, least), "pairs"), source).filter(_is_link(least))
         found = written(found, "near")
         near = found if near is None else near.union(found)
         roots = written(components(near, "a", "b"), "roots")
-    rows = _families(lists, near, roots, least)
-    opened = _dealt(rows, _block_pairs(rows, least), maps).mapInArrow(_across(least), ", ".join(f"{n} bigint" for n in FOUND))
+    opened = _dealt(rows, open_blocks, maps).mapInArrow(_across(least), ", ".join(f"{n} bigint" for n in FOUND))
     # over all lists, the pair of relatives that needs the least of their leads' common shingles
     short = F.ceil(F.col("sizes") * least.numerator / (least.numerator + least.denominator)) - F.col("more")
     opened = written(opened.groupBy("a", "b").agg(F.min(short).alias("short")), "open")
